@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import packing
+from tessera.llm import packing, simhash
 
-_MODULES = (packing,)
+_MODULES = (packing, simhash)
 
 
 def queries() -> dict:
