@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import packing, simhash
+from tessera.llm import huffman, packing, simhash
 
-_MODULES = (packing, simhash)
+_MODULES = (packing, simhash, huffman)
 
 
 def queries() -> dict:
