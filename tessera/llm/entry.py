@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import huffman, packing, simhash
+from tessera.llm import huffman, mixing, packing, simhash
 
-_MODULES = (packing, simhash, huffman)
+_MODULES = (packing, simhash, huffman, mixing)
 
 
 def queries() -> dict:
