@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import huffman, mixing, packing, simhash
+from tessera.llm import huffman, langid, mixing, packing, simhash
 
-_MODULES = (packing, simhash, huffman, mixing)
+_MODULES = (langid, packing, mixing, simhash, huffman)
 
 
 def queries() -> dict:
