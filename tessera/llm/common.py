@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,3 +75,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def text_runs(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts with about ``chars`` characters together."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if held >= chars:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)

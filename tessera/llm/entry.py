@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import huffman, langid, mixing, packing, simhash
+from tessera.llm import huffman, langid, mixing, packing, quality, simhash
 
-_MODULES = (langid, packing, mixing, simhash, huffman)
+_MODULES = (langid, packing, mixing, quality, simhash, huffman)
 
 
 def queries() -> dict:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, table
+from tessera.llm.common import fold, table, text_runs
 
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 16
@@ -69,17 +69,6 @@ def ngrams(texts: list[str | None], orders: tuple[int, ...] = ORDERS, buckets: i
     return out, some
 
 
-def runs(texts: list, chars: int = CHARS):
-    start = held = 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
-        if held >= chars:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def fit(labelled: DataFrame, lang_col: str, text_col: str, key_col: str, *, train_docs: int = TRAIN_DOCS, smoothing: float = SMOOTHING, buckets: int = BUCKETS) -> tuple[list[str], np.ndarray]:
     """Languages (in code point order) and log probabilities [bucket, language].
 
@@ -102,7 +91,7 @@ def fit(labelled: DataFrame, lang_col: str, text_col: str, key_col: str, *, trai
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             names, texts = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
-            for a, b in runs(texts):
+            for a, b in text_runs(texts, CHARS):
                 grams, _ = ngrams(texts[a:b], buckets=buckets)
                 for name in set(names[a:b]):
                     own = names[a:b] == name
@@ -123,7 +112,7 @@ def score_texts(texts: list[str | None], langs: list[str], matrix: np.ndarray) -
     """Language and its posterior (equal priors) of each text."""
     buckets, k = matrix.shape
     names, scores = [], []
-    for a, b in runs(texts, max(1, CHARS * 4 // max(4, k))):
+    for a, b in text_runs(texts, max(1, CHARS * 4 // max(4, k))):
         grams, some = ngrams(texts[a:b], buckets=buckets)
         total = np.zeros((b - a, k))
         for owner, bucket in grams:
