@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import huffman, langid, matroska, mixing, packing, quality, simhash
+from tessera.llm import huffman, langid, matroska, mixing, packing, quality, simhash, warc
 
-_MODULES = (langid, packing, mixing, quality, matroska, simhash, huffman)
+_MODULES = (langid, packing, mixing, quality, warc, matroska, simhash, huffman)
 
 
 def queries() -> dict:
