@@ -43,6 +43,8 @@ BLOCK_IDS = 1 << 16
 CHECKPOINT = 256
 #: Ids in one file and so in one reading task, about.
 FILE_IDS = 1 << 22
+#: Up to so many files their offsets (16 bytes each) are broadcast, else joined.
+BROADCAST_FILES = 1_000_000
 MAGIC = b"HUF1"
 HEAD = struct.Struct("<4sII")
 BODY = struct.Struct("<IQIII")
@@ -316,7 +318,9 @@ def read_tokens(spark: SparkSession, folder: str, id_col: str = "doc_id", max_bi
 
     totals = files.mapInArrow(sizes_of, "file long, n long").groupBy("file").agg(F.sum("n").alias("n"))
     # One row for each file, not for each document.
-    before = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
+    before = written(totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before")), "before")
+    if before.count() <= BROADCAST_FILES:
+        before = F.broadcast(before)
     rows = files.mapInArrow(run, "id long, file long, here long, n_tokens long, ids binary")
     return rows.join(before, "file").select(F.col("id").alias(id_col), (F.col("before") + F.col("here")).alias("start"), "n_tokens", "ids")
 
