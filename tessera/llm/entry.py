@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import bloomlm, huffman, langid, matroska, mixing, packing, quality, simhash, warc
+from tessera.llm import bloomlm, huffman, langid, matroska, mixing, packing, quality, search, simhash, warc
 
-_MODULES = (langid, packing, mixing, quality, warc, matroska, bloomlm, simhash, huffman)
+_MODULES = (langid, packing, mixing, search, quality, warc, matroska, bloomlm, simhash, huffman)
 
 
 def queries() -> dict:
