@@ -32,13 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table, work_folder
+from tessera.llm.common import table, work_folder, written
 
 #: A record's block is cut into segments of so many bytes.
 SEGMENT_BYTES = 16 << 10
 #: Size at which an archive file is closed.
 ARCHIVE_BYTES = 16 << 20
 CHUNK_BYTES = 4 << 10
+#: Up to so many repeated payloads (about 100 bytes each) are broadcast.
+BROADCAST_PAYLOADS = 500_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
@@ -142,7 +144,10 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     # Only payloads that repeat; a hot one is pre-aggregated to one row a task.
     copies = rows.where(F.octet_length("html") >= revisit_from).groupBy("same", "id").agg(F.count("*").alias("n"))
     first = copies.groupBy("same").agg(F.min("id").alias("first"), F.sum("n").alias("all"), F.min_by("n", "id").alias("twins")).where("all > 1")
-    rows = rows.join(first.withColumnRenamed("same", "known"), F.col("same") == F.col("known"), "left")
+    first = written(first.select(F.col("same").alias("known"), "first", "twins"), "first")
+    if first.count() <= BROADCAST_PAYLOADS:
+        first = F.broadcast(first)  # the html then needs no shuffle
+    rows = rows.join(first, F.col("same") == F.col("known"), "left")
     refers = F.when(F.col("id").eqNullSafe(F.col("first")), None).otherwise(F.col("first"))
     rows = rows.select("id", "url", "html", refers.alias("refers_to"), (F.col("id").isNull() | refers.isNotNull() | (F.coalesce("twins", F.lit(1)) > 1)).alias("salted"))
 
