@@ -31,6 +31,8 @@ MOST_PASSES = 2
 #: Weight over time as (time, weight) knots, by the source's place, repeating.
 SCHEDULES = (((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)), ((0.0, 1.5), (1.0, 0.5)))
 BUCKET_DIGITS = 3
+#: Up to so many (source, bucket) rows of about 60 bytes are broadcast.
+BROADCAST_BUCKETS = 1_000_000
 
 
 def targets(sized: DataFrame, weights: tuple = WEIGHTS, budget_percent: int = BUDGET_PERCENT, most_passes: int = MOST_PASSES) -> DataFrame:
@@ -95,11 +97,13 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     d = docs.select(F.col(id_col), *keep, F.col(source_col).alias(source), word_count(F.col(text_col).cast("string")).alias("size"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.col(text_col).cast("string"), F.lit("")).cast("binary")).alias("mix_order"))
     d = d.withColumn("mix_bucket", F.left("mix_order", F.lit(BUCKET_DIGITS)))
     d = written(d, "sized")
-    sums = d.groupBy(source, "mix_bucket").agg(F.sum("size").alias("n"))
+    sums = written(d.groupBy(source, "mix_bucket").agg(F.sum("size").alias("n")), "sums")
     goals = targets(sums.select(F.col(source).alias("source"), F.col("n").alias("size")), weights, budget_percent, most_passes)
     upto = Window.partitionBy(source).orderBy("mix_bucket")
     sums = sums.withColumn("mix_before", F.sum("n").over(upto) - F.col("n")).drop("n")
     known = sums.join(goals, F.col(source).eqNullSafe(goals["source"])).select(F.col(source).alias("s"), F.col("mix_bucket").alias("b"), "mix_before", "place", "source_size", "target")
+    if sums.count() <= BROADCAST_BUCKETS:
+        known = F.broadcast(known)  # else each document would be shuffled twice
     within = Window.partitionBy(source, "mix_bucket").orderBy("mix_order", id_col, "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("mix_here", F.sum("size").over(within) - F.col("size"))
     d = d.join(known, F.col(source).eqNullSafe(F.col("s")) & (F.col("mix_bucket") == F.col("b"))).withColumn(start, F.col("mix_before") + F.col("mix_here"))
