@@ -76,7 +76,7 @@ def _questions(spark, d) -> DataFrame:
 
 
 def _docs(spark, d) -> DataFrame:
-    return t(spark, d, "documents").select("doc_id", "source", "text")
+    return store.spread(t(spark, d, "documents").select("doc_id", "source", "text"))
 
 
 def _top(spark, d) -> DataFrame:

@@ -14,6 +14,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows in as many partitions as there are cores, if the scan has
+    fewer: work on texts costs far more than moving them once. A large table
+    already has more partitions and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder in the one that driver and executors share: what
     ``spark.checkpoint.dir`` names, else one in the warehouse."""
