@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Space-separated pieces that each Python worker remembers, at most.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 
 #: The splitting patterns of the two kinds of file.
 GLUED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -123,6 +123,7 @@ class TextEncoder:
 
         if all(one(p) == self._by_library(p) for p in PROBES):
             self._one = one
+            self.library = None  # its tables are no longer needed
 
     @property
     def fast(self) -> bool:
