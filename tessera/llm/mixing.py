@@ -31,8 +31,8 @@ MOST_PASSES = 2
 #: Weight over time as (time, weight) knots, by the source's place, repeating.
 SCHEDULES = (((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)), ((0.0, 1.5), (1.0, 0.5)))
 BUCKET_DIGITS = 3
-#: Up to so many (source, bucket) rows of about 60 bytes are broadcast.
-BROADCAST_BUCKETS = 1_000_000
+#: Up to so many (source, bucket) rows of about 200 bytes are broadcast.
+BROADCAST_BUCKETS = 500_000
 
 
 def targets(sized: DataFrame, weights: tuple = WEIGHTS, budget_percent: int = BUDGET_PERCENT, most_passes: int = MOST_PASSES) -> DataFrame:
