@@ -234,7 +234,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
     enc = encoder(path)
     size, dtype = max(enc.size, end_id + 1), enc.dtype
-    tokens = written(token_rows(docs, id_col, text_col, path, end_id), "tokens")
+    tokens = written(token_rows(docs, id_col, text_col, path, end_id), "tokens", "zstd")
     lengths = code_lengths(id_counts(tokens, size, dtype), max_bits)
     spark.createDataFrame([(lengths.tobytes(),)], "value binary").select(F.col("value").cast("string").alias("value")).coalesce(1).write.text(f"{folder}/code")
 
