@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.store import written
+
 
 def link_edges(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """(src, dst, n): links of pages and how often each occurs."""
@@ -33,13 +35,14 @@ def reach(edges: DataFrame, sources: DataFrame, depth: int) -> DataFrame:
 
     Breadth first: a level's frontier is joined to the edges, and what was
     reached before is taken out, so cycles end. The number of rounds is bounded
-    by ``depth``, a small constant.
+    by ``depth``, a small constant, and each is written to the shared folder.
     """
-    seen = sources.select(F.col("node").alias("source"), "node", F.lit(0).alias("depth"))
-    frontier = seen
+    seen = frontier = written(sources.select(F.col("node").alias("source"), "node", F.lit(0).alias("depth")))
     for step in range(1, depth + 1):
         found = frontier.join(edges, frontier.node == edges.src).select("source", F.col("dst").alias("node")).distinct()
-        frontier = found.join(seen, ["source", "node"], "left_anti").withColumn("depth", F.lit(step))
+        frontier = written(found.join(seen, ["source", "node"], "left_anti").withColumn("depth", F.lit(step)))
+        if frontier.isEmpty():
+            break
         seen = seen.unionByName(frontier)
     return seen
 

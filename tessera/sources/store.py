@@ -14,6 +14,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared work folder and read it again: plans of loops
+    stay short, and lost executors cost no more than one round."""
+    path = work_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The same rows in as many partitions as there are cores, if the scan has
     fewer: work on texts costs far more than moving them once. A large table
