@@ -30,14 +30,14 @@ def scan_pushdown(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT n_name, p_brand, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+SELECT n_name, p_brand, count(*) AS n, sum(round(l_extendedprice * (1 - l_discount), 4)::DECIMAL(18, 4))::DOUBLE AS revenue
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey
 GROUP BY n_name, p_brand""")
 def join_star(spark: SparkSession, d: str) -> DataFrame:
     li = t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
     o, c, n, p = (t(spark, d, x) for x in ("orders", "customer", "nation", "part"))
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).join(p, li.l_partkey == p.p_partkey)
-    return j.groupBy("n_name", "p_brand").agg(F.count("*").alias("n"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
+    return j.groupBy("n_name", "p_brand").agg(F.count("*").alias("n"), F.sum(F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).cast("decimal(18,4)")).cast("double").alias("revenue"))
 
 
 @query("""
