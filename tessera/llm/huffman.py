@@ -191,33 +191,43 @@ def unpack(parts: list[tuple[int, np.ndarray, bytes]], ids: np.ndarray, sizes: n
 # ------------------------------------------------------------------ Spark
 
 
-def token_rows(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
-    """(id, n, ids): each row's ids with the end id, as little-endian bytes."""
+def token_rows(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int, size: int) -> DataFrame:
+    """(id, n, ids, kind): each row's ids with the end id, as little-endian
+    bytes (kind 0), and for each task one row with the counts of its ids, 8
+    bytes each (kind 1)."""
 
     def run(batches):
         enc = encoder(path)
         end, width = np.array([end_id], enc.dtype).tobytes(), enc.dtype.itemsize
+        counts = np.zeros(size, np.int64)
+
+        def out(key, n, ids, kind):
+            return pa.RecordBatch.from_arrays([key, pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array([kind] * len(ids), pa.int32())], ["id", "n", "ids", "kind"])
+
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 ids = [raw + end for raw in enc.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["id", "n", "ids"])
+                counts += np.bincount(np.frombuffer(b"".join(ids), enc.dtype), minlength=size)
+                yield out(part.column(0), [len(x) // width for x in ids], ids, 0)
+        if counts.any():
+            yield out(pa.array([None], pa.int64()), [0], [counts.tobytes()], 1)
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, n long, ids binary")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, n long, ids binary, kind int")
 
 
-def id_counts(tokens: DataFrame, size: int, dtype: np.dtype) -> np.ndarray:
+def id_counts(tokens: DataFrame, size: int) -> np.ndarray:
     """How often each id occurs: one small array, whatever the input's size."""
 
     def run(batches):
         counts = np.zeros(size, np.int64)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                counts += np.bincount(np.frombuffer(raw, dtype), minlength=size)
+                counts += np.frombuffer(raw, np.int64)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["token", "n"])
 
-    found = tokens.select("ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
+    found = tokens.where("kind = 1").select("ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(size, np.int64)
     counts[found["token"].to_numpy()] = found["n"].to_numpy()
     return counts
@@ -234,8 +244,11 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
     enc = encoder(path)
     size, dtype = max(enc.size, end_id + 1), enc.dtype
-    tokens = written(token_rows(docs, id_col, text_col, path, end_id), "tokens", "zstd")
-    lengths = code_lengths(id_counts(tokens, size, dtype), max_bits)
+    made, at = token_rows(docs, id_col, text_col, path, end_id, size), f"{work_folder(spark)}/ids"
+    made.write.option("compression", "zstd").partitionBy("kind").parquet(at)
+    tokens = spark.read.schema(made.schema).parquet(at)
+    lengths = code_lengths(id_counts(tokens, size), max_bits)
+    tokens = tokens.where("kind = 0")
     spark.createDataFrame([(lengths.tobytes(),)], "value binary").select(F.col("value").cast("string").alias("value")).coalesce(1).write.text(f"{folder}/code")
 
     total = tokens.agg(F.sum("n")).first()[0] or 0
