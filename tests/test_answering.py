@@ -1,7 +1,5 @@
-from pyspark.sql import functions as F
-
 from tessera.operators import answering, evaluation, retrieval
-from tessera.plans.pipeline import ask
+from tessera.plans.pipeline import ask, build_gold, evaluate
 from tessera.session import Options
 
 
@@ -81,3 +79,24 @@ def test_gold_needs_words_in_order(spark):
 def test_options_from_settings():
     o = Options.from_settings({"KB_RERANK": "0", "KB_RERANK_MIN": "0.5", "KB_PORT": "1"})
     assert not o.rerank and o.rerank_min == 0.5 and o.port == 1 and Options.from_settings({}) == Options()
+
+
+def test_gold_and_evaluation(spark):
+    docs, questions = corpus(spark)
+    assert sorted((r.qid, r.split, r.doc_id) for r in build_gold(questions, docs).collect()) == [(10, "tunable", 1), (11, "heldout", None)]
+    got = {r.type: (r.n, r.accuracy) for r in evaluate(questions, docs).collect()}
+    assert got == {"all": (2, 1.0), "answerable": (1, 1.0), "unanswerable": (1, 1.0)}
+
+
+def test_dense_search_in_blocks(spark, sf, monkeypatch):
+    v = spark.read.parquet(f"{sf}/embeddings.parquet")
+    q = v.where("vec_id % 50 = 0")
+    whole = sorted(map(tuple, retrieval.dense_topk(q, v).collect()))
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 3)
+    assert sorted(map(tuple, retrieval.dense_topk(q, v).collect())) == whole
+
+
+def test_cell_index_recall(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.queries()["ann_recall"](spark, "/root/testdata/sf0.01").first().recall >= 0.9

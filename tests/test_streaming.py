@@ -35,3 +35,20 @@ def test_session_ends_at_the_gap(spark):
     e = spark.createDataFrame([(1, at(0)), (1, at(4)), (1, at(20)), (None, at(1))], "user_id long, ts timestamp")
     got = sorted((r.user_id or 0, r.n) for r in sessions(e, "10 minutes").collect())
     assert got == [(0, 1), (1, 1), (1, 2)]
+
+
+def test_resumed_index_adds_only_new_files(spark, tmp_path):
+    from tessera.streaming.windows import resume_index
+
+    def add(name, rows):
+        spark.createDataFrame(rows, "chunk_id string, text string").coalesce(1).write.mode("append").json(f"file://{tmp_path}/chunks")
+
+    def run():
+        q = resume_index(spark, f"file://{tmp_path}/chunks", "chunk_id string, text string", lambda c: c.withColumn("size", F.length("text")), f"file://{tmp_path}/vectors", f"file://{tmp_path}/cp")
+        q.awaitTermination()
+        return sorted(r.chunk_id for r in spark.read.parquet(f"file://{tmp_path}/vectors").collect())
+
+    add("a", [("1", "x"), ("2", None)])
+    assert run() == ["1", "2"] and run() == ["1", "2"]
+    add("b", [("3", "y")])
+    assert run() == ["1", "2", "3"]
