@@ -26,11 +26,6 @@ def fold_of(doc_id: int, modulus: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % modulus
 
 
-def ascii_lower(col: Column) -> Column:
-    """Lower-case A to Z and nothing else."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def word_count(col: Column) -> Column:
     """Words of a text; null and blank texts have none."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
@@ -71,12 +66,6 @@ def free_name(taken: list[str], wanted: str) -> str:
     return wanted
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def text_runs(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts with about ``chars`` characters together."""
     start = held = 0

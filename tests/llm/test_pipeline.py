@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from tessera.llm import langid, quality, simhash
+from tessera.llm import quality, simhash
 
 
 def documents(spark):
