@@ -26,7 +26,7 @@ from tessera.llm.common import fold, table, text_runs
 TRAIN_DOCS = 1500
 #: Labelled documents with more lines are not used for training.
 TRAIN_LINES = 300
-STEPS = 150
+STEPS = 80
 RATE = 0.1
 RIDGE = 1e-3
 THRESHOLD = 0.3
