@@ -15,7 +15,7 @@ def gold_pairs(questions: DataFrame, docs: DataFrame, qid: str = "item_id") -> D
     rarest word, then containment is verified."""
     q = questions.select(F.col(qid).alias("qid"), normalised(F.col("text")).alias("needle"), F.array_distinct(tokens(F.col("text"))).alias("words"))
     asked = q.select("qid", F.explode("words").alias("term"))
-    d = docs.select("doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")).join(asked.select("term").distinct(), "term", "left_semi")
+    d = docs.select("doc_id", F.explode_outer(F.array_distinct(tokens(F.col("text")))).alias("term")).join(asked.select("term").distinct(), "term", "left_semi")
     df = d.groupBy("term").agg(F.count("*").alias("df"))
     rare = asked.join(df, "term", "left").groupBy("qid").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")).alias("r")).where("r.df > 0")
     near = rare.select("qid", F.col("r.term").alias("term")).join(d, "term").select("qid", "doc_id")

@@ -29,14 +29,16 @@ def question_terms(questions: DataFrame, qid: str = "item_id", text: str = "text
 
 
 def document_terms(docs: DataFrame, id_col: str = "doc_id", text: str = "text", only: DataFrame | None = None) -> DataFrame:
-    """(doc_id, dl, term, tf). Words are counted before the shuffle, all of a
-    document's being in one task; with ``only`` (term), other words are left
-    out before that. Generated code on exploded words is several times faster
-    here than array lambdas inside the row."""
-    words = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text)).alias("all")).select("doc_id", F.size("all").cast("long").alias("dl"), F.explode("all").alias("term"))
-    if only is not None:
-        words = words.join(only, "term", "left_semi")
-    return words.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
+    """(doc_id, dl, term, tf), partitioned by document.
+
+    With ``only`` (term), other words are left out before the one shuffle.
+    Since its key is the document alone, whatever is grouped by document and
+    something else afterwards needs no further shuffle. (The outer explode
+    keeps the planner from splitting texts twice, to filter out empty ones.)
+    """
+    words = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text)).alias("all")).select("doc_id", F.size("all").cast("long").alias("dl"), F.explode_outer("all").alias("term"))
+    words = words.join(only, "term", "left_semi") if only is not None else words.where("term is not null")
+    return words.repartition("doc_id").groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
 
 
 def corpus_size(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -78,7 +80,7 @@ def route(questions: DataFrame, docs: DataFrame, domains: int = 3, domain: str =
     question's idf. A domain has as many idf as question words it knows, each
     weighted by the share of its documents that have the word."""
     terms = question_terms(questions, qid)
-    words = docs.select("doc_id", F.col(domain).alias("domain"), F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")).join(terms.select("term").distinct(), "term", "left_semi")
+    words = docs.select("doc_id", F.col(domain).alias("domain"), F.explode_outer(F.array_distinct(tokens(F.col("text")))).alias("term")).join(terms.select("term").distinct(), "term", "left_semi")
     per = words.groupBy("domain", "term").agg(F.count("*").alias("n"))
     df = per.groupBy("term").agg(F.sum("n").alias("df"))
     size = docs.groupBy(F.col(domain).alias("domain")).agg(F.count("*").alias("domain_docs"))
