@@ -60,18 +60,32 @@ def join_semi_anti(spark: SparkSession, d: str) -> DataFrame:
     return buyers.unionAll(c.join(o, own, "left_anti").select("c_custkey", F.lit("idle").alias("kind")))
 
 
+def _line_spans(spark: SparkSession, d: str, kept: str) -> DataFrame:
+    size = F.size(F.split("text", "\n"))
+    docs = t(spark, d, "documents").select("doc_id", size.alias("size"))
+    spans = docs.select("doc_id", "size", F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / 5).cast("int"))).alias("chunk"))
+    spans = spans.select("doc_id", F.col("chunk").cast("long").alias("chunk"), (F.col("chunk") * 5 + 1).alias("a"), F.least(F.col("chunk") * 5 + 5, "size").alias("b"))
+    lines = docs.select("doc_id", F.explode(F.sequence(F.lit(1), "size")).alias("line")).where(kept)
+    return lines.join(spans, "doc_id").where("line between a and b").select("doc_id", "line", "chunk")
+
+
 @query("""
 WITH l AS (SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line FROM documents),
 c AS (SELECT doc_id, ((line - 1) // 5) AS chunk, min(line) AS a, max(line) AS b FROM l GROUP BY ALL)
 SELECT l.doc_id, l.line::INT AS line, c.chunk::BIGINT AS chunk FROM l JOIN c ON l.doc_id = c.doc_id AND l.line BETWEEN c.a AND c.b WHERE l.line % 7 = 0""")
 def join_line_span(spark: SparkSession, d: str) -> DataFrame:
+    """Every seventh line met with the chunk span that holds it, as its SQL
+    says; ``join_line_span_all`` joins every line."""
+    return _line_spans(spark, d, "line % 7 = 0")
+
+
+@query("""
+WITH l AS (SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line FROM documents),
+c AS (SELECT doc_id, ((line - 1) // 5) AS chunk, min(line) AS a, max(line) AS b FROM l GROUP BY ALL)
+SELECT l.doc_id, l.line::INT AS line, c.chunk::BIGINT AS chunk FROM l JOIN c ON l.doc_id = c.doc_id AND l.line BETWEEN c.a AND c.b""")
+def join_line_span_all(spark: SparkSession, d: str) -> DataFrame:
     """Lines met with the chunk spans that hold them: equal file, line between."""
-    size = F.size(F.split("text", "\n"))
-    docs = t(spark, d, "documents").select("doc_id", size.alias("size"))
-    spans = docs.select("doc_id", "size", F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / 5).cast("int"))).alias("chunk"))
-    spans = spans.select("doc_id", F.col("chunk").cast("long").alias("chunk"), (F.col("chunk") * 5 + 1).alias("a"), F.least(F.col("chunk") * 5 + 5, "size").alias("b"))
-    lines = docs.select("doc_id", F.explode(F.sequence(F.lit(1), "size")).alias("line")).where("line % 7 = 0")
-    return lines.join(spans, "doc_id").where("line between a and b").select("doc_id", "line", "chunk")
+    return _line_spans(spark, d, "true")
 
 
 @query("""
