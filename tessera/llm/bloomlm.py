@@ -36,7 +36,9 @@ RANGE_KEYS = 1 << 18
 #: Distinct words and bytes of filter in one broadcast, at most.
 SHARD_WORDS = 8_000_000
 SHARD_BYTES = 128 << 20
-#: Characters hashed together, and tokens pre-aggregated together.
+#: Bytes hashed at once.
+WINDOW = 1 << 20
+#: Characters of texts that are taken together, and tokens pre-aggregated together.
 CHARS = 1 << 20
 TOKENS = 1 << 22
 
@@ -69,20 +71,40 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def tokens_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(keys of all tokens, each text's words and then its end; tokens of each)."""
+    """(keys of all tokens, each text's words and then its end; tokens of each).
+
+    Bytes are hashed ``WINDOW`` at a time, wherever that cuts texts or words,
+    so that a very long text needs few bytes a word beside its own.
+    """
     raw = [(t or "").encode("utf-8", "replace") for t in texts]
-    data = _LOWER[np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)]
-    blank = _BLANK[data]
-    w0 = np.flatnonzero(~blank & np.r_[True, blank[:-1]])
-    w1 = np.flatnonzero(blank & np.r_[False, ~blank[:-1]])
-    power, inverse = _powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-    words = mixed((sums[w1] - sums[w0]) * inverse[w0]) & np.uint64(2**64 - 2)
     begins = np.cumsum([0, *(len(r) + 1 for r in raw)])
-    own = np.searchsorted(begins, w0, "right") - 1
-    sizes = np.bincount(own, minlength=len(raw)) + 1
-    keys = np.full(len(words) + len(raw), END)
+    whole = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+    del raw
+    hashed, owner = [], []
+    inside, part, length = False, 0, 0  # of a word that the last window cut
+    for at in range(0, len(whole), WINDOW):
+        data = _LOWER[whole[at : at + WINDOW]]
+        blank = _BLANK[data]
+        w0 = np.flatnonzero(~blank & np.r_[not inside, blank[:-1]])
+        w1 = np.flatnonzero(blank & np.r_[inside, ~blank[:-1]])
+        power, inverse = _powers(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
+        if inside:
+            n = int(w1[0]) if len(w1) else len(data)
+            part = (part + int(sums[n]) * int(inverse[0]) * pow(int(_MULT), length, 1 << 64)) % (1 << 64)
+            length += n
+            if len(w1):
+                hashed.append(np.array([part], np.uint64))
+        ends = w1[1:] if inside else w1
+        hashed.append((sums[ends] - sums[w0[: len(ends)]]) * inverse[w0[: len(ends)]])
+        owner.append(np.searchsorted(begins, at + w1, "right") - 1)
+        if len(w0) > len(ends):
+            part, length = (int(sums[-1]) - int(sums[w0[-1]])) * int(inverse[w0[-1]]) % (1 << 64), len(data) - int(w0[-1])
+        inside = not blank[-1]
+    words, own = mixed(np.concatenate(hashed)) & np.uint64(2**64 - 2), np.concatenate(owner)
+    sizes = np.bincount(own, minlength=len(texts)) + 1
+    keys = np.full(len(words) + len(texts), END)
     keys[np.arange(len(words)) + own] = words
     return keys, sizes
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,13 +66,18 @@ def free_name(taken: list[str], wanted: str) -> str:
     return wanted
 
 
+def size_runs(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs whose sizes add up to about ``most``."""
+    start = held = n = 0
+    for n, size in enumerate(sizes, 1):
+        held += size
+        if held >= most:
+            yield start, n
+            start, held = n, 0
+    if start < n:
+        yield start, n
+
+
 def text_runs(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts with about ``chars`` characters together."""
-    start = held = 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
-        if held >= chars:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    return size_runs((len(t or "") for t in texts), chars)

@@ -206,37 +206,55 @@ def brute_bm25(docs, queries, k):
     return out
 
 
-@pytest.mark.parametrize("block,side,long", [(32, 128, 16), (4, 3, 2), (2, 1, 1)])
-def test_search_equals_brute_force(spark, make_docs, monkeypatch, block, side, long):
-    for name, value in (("BLOCK", block), ("SIDE", side), ("LONG", long)):
-        monkeypatch.setattr(search, name, value)
-    rng = random.Random(7)
-    vocabulary = [f"w{int(rng.paretovariate(0.7))}" for _ in range(3000)]
-    docs = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 60))).title() or None) for i in range(150)]
-    shards = []
-    for part in (docs[:70], docs[70:71], docs[71:]):
-        keys, sizes = search.tokens_of([t for _, t in part])
-        shards.append(search.build_shard(np.array([i for i, _ in part]), keys, sizes))
+def searched(parts, asked, k, mean=None):
+    """{query: [(document, score)]} of the shards, and (scored, all) blocks."""
+    docs = [d for part in parts for d in part]
+    tokens = [search.tokens_of([t for _, t in part]) for part in parts]
+    mean = sum(len(keys) - len(sizes) for keys, sizes in tokens) / len(docs)
+    shards = [search.build_shard(np.array([i for i, _ in part]), *t, mean) for part, t in zip(parts, tokens)]
     df = Counter()
     for s in shards:
-        df.update(dict(zip(s["keys"].view(np.int64).tolist(), np.diff(s["ptr"].astype(int)).tolist())))
-    asked = [d for d in docs if d[0] % 10 == 0]
+        df.update(dict(zip(s["keys"].tolist(), search.document_counts(s).tolist())))
     held = []
     for i, t in asked:
         keys, _ = search.tokens_of([t])
-        keys = sorted(set(keys[keys != search.END].view(np.int64).tolist()))
-        held.append((i, keys, [df[k] for k in keys]))
-    queries, best = search.Queries(held, len(docs)), search.Best(len(held), 5)
-    mean = sum(int(s["len"].sum()) for s in shards) / len(docs)
-    for s in shards:
-        search.search_shard(s, queries, best, mean)
+        keys = np.unique(keys[keys != search.END])
+        held.append((i, keys, np.array([df[x] for x in keys.tolist()], np.int64)))
+    queries, best = search.gathered(held, len(docs)), search.Best(len(held), k)
+    counts = np.sum([search.search_shard(s, queries, best) for s in shards], axis=0)
     got = {}
-    for q, doc, score in zip(best.q, best.doc, best.score):
+    for q, doc, score in zip(*best.rows()):
         got.setdefault(int(queries.ids[q]), []).append((int(doc), float(score)))
+    return got, counts
+
+
+@pytest.mark.parametrize("block,cells,long", [(64, 1 << 20, 32), (4, 64, 3), (2, 1, 1)])
+def test_search_equals_brute_force(monkeypatch, block, cells, long):
+    for name, value in (("BLOCK", block), ("CELLS", cells), ("LONG", long)):
+        monkeypatch.setattr(search, name, value)
+    rng = random.Random(7)
+    vocabulary = [f"w{int(rng.paretovariate(0.7))}" for _ in range(3000)]
+    docs = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 60))).title() or None) for i in range(150)]
+    asked = [d for d in docs if d[0] % 10 == 0] + [(999, "unheard words")]
+    got, _ = searched((docs[:70], docs[70:71], docs[71:]), asked, 5)
     want = {}
     for q, _, doc, score in brute_bm25(docs, asked, 5):
         want.setdefault(q, []).append((doc, score))
     assert {q: [d for d, _ in v] for q, v in got.items()} == {q: [d for d, _ in v] for q, v in want.items()}
+    assert all(math.isclose(a, b, abs_tol=2e-6) for q in want for (_, a), (_, b) in zip(got[q], want[q]))
+
+
+def test_blocks_below_the_threshold_are_skipped(monkeypatch):
+    monkeypatch.setattr(search, "BLOCK", 2)
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choices([f"t{i % 20}w{k}" for k in range(40)] + ["the", "of"], k=50))) for i in range(400)]
+    asked = docs[::37]
+    got, (scored, seen) = searched((docs[:150], docs[150:]), asked, 3)
+    want = {}
+    for q, _, doc, _ in brute_bm25(docs, asked, 3):
+        want.setdefault(q, []).append(doc)
+    assert {q: [d for d, _ in v] for q, v in got.items()} == want
+    assert scored < seen / 5
 
 
 def test_search_edge_cases(edge, make_docs):
