@@ -10,6 +10,13 @@ vocabulary:
   its end form one symbol. The end is written as the byte ``A``, which lower-
   cased text never has, and the symbols with an end have the lowest ranks.
 
+The two engines carry Unicode tables of different years. With word ends, a
+piece between spaces therefore goes to ``tiktoken`` only if all its characters
+are settled: assigned since Unicode 3.2 and unchanged in category and
+decomposition; any other piece goes to the library. Byte-level files need only
+tell letters, numbers and white space, which both engines do alike. The tests
+compare both for every code point.
+
 An encoder first compares itself with the library on probe texts; on any
 difference, or for any other kind of file, the library does all the work.
 Strings of special tokens in a text are ordinary text.
@@ -24,8 +31,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Space-separated pieces that each Python worker remembers, at most.
+#: Space-separated pieces that each Python worker remembers, at most, and their length.
 CACHE_PIECES = 250_000
+CACHE_CHARS = 40
 
 #: The splitting patterns of the two kinds of file.
 GLUED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -60,11 +68,18 @@ class _Remembered(dict):
 
     def __missing__(self, piece: str) -> bytes:
         made = self.make(piece)
-        if len(self) < self.most:
+        if len(self) < self.most and len(piece) <= CACHE_CHARS:
             self[piece] = made
         return made
 
 
+def settled(char: str) -> bool:
+    """Whether every Unicode version since 3.2 treats a character alike."""
+    then = unicodedata.ucd_3_2_0
+    kind = then.category(char)
+    return kind not in ("Cn", "Cs") and kind == unicodedata.category(char) and then.decomposition(char) == unicodedata.decomposition(char)
+
+
 class TextEncoder:
     """ids of texts as little-endian bytes of ``dtype``.
 
@@ -73,10 +88,7 @@ class TextEncoder:
 
     def __init__(self, path: str, engine: str = "auto", cache_pieces: int = CACHE_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.path, self._library = path, None
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self._one = self._by_library
@@ -84,6 +96,16 @@ class TextEncoder:
             with open(path, encoding="utf-8") as f:
                 self._prepare(json.load(f), cache_pieces)
 
+    @property
+    def library(self):
+        """The library's tokenizer, loaded when it is needed."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self.path)
+            self._library.encode_special_tokens = True
+        return self._library
+
     def _by_library(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
@@ -113,16 +135,22 @@ class TextEncoder:
         else:
             mark = regex.compile(f"({ENDED_PATTERN})|.", regex.DOTALL).sub
             marked = lambda m: f"{m[1]}A" if m[1] else ""
-            piece = lambda p: np.array(ids(mark(marked, p)), self.dtype).tobytes()
+            known = _Remembered(settled, 1 << 16)
+
+            def piece(p: str) -> bytes:
+                if not p.isascii() and not all(map(known.__getitem__, set(p))):
+                    return self._by_library(p)
+                p = unicodedata.normalize("NFC", p).replace("Σ", "σ").lower()
+                return np.array(ids(mark(marked, p)), self.dtype).tobytes()
+
             get = _Remembered(piece, cache_pieces).__getitem__
 
             def one(text: str) -> bytes:
-                text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
                 return b"".join(map(get, text.replace("\n", " ").split(" ")))
 
         if all(one(p) == self._by_library(p) for p in PROBES):
             self._one = one
-            self.library = None  # its tables are no longer needed
+            self._library = None  # its tables are seldom needed from here on
 
     @property
     def fast(self) -> bool:
