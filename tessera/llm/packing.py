@@ -10,6 +10,10 @@ pieces among its own sequences. The number of shards follows the size of the
 input, so a shard's task needs the same memory at any scale; a long document's
 pieces, a hot source's rows and copies spread over all shards.
 
+Documents that stand in an order (a curriculum's) keep it: their shards are then
+runs of successive rows instead, and ascending sequence ids follow the order
+from shard to shard; inside a shard pieces are dealt by length.
+
 A shard has exactly as much room as tokens: sequences of ``capacity`` tokens
 and, for the remainder, one shorter sequence for each binary digit (a sequence
 whose length is a power of two is not padded). Only when no sequence has room
@@ -24,17 +28,23 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import size_runs, table
 from tessera.llm.tokens import encoder, tokenizer_path
 
 CAPACITY = 4096
 #: UTF-8 bytes of text for each shard; a text has no more tokens than bytes.
 SHARD_BYTES = 2 << 20
+#: Bytes of text that are tokenized and sent on together, about.
+BATCH_BYTES = 2 << 20
 #: Attention over n tokens against the linear layers: n / (6 * model width).
 QUADRATIC = 1 / (6 * 4096)
+#: Bits of an ordered sequence id for the row of a file at which its shard
+#: begins, and for shards that begin at the same row together with their sequences.
+ROW_BITS, LOCAL_BITS = 24, 19
 
 
 def ids_crc32(ids: np.ndarray) -> int:
@@ -68,11 +78,12 @@ def deal(lengths: np.ndarray, capacity: int = CAPACITY, linear: float = 1.0, qua
             start, n = start + take, n - take
 
 
-def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int, capacity: int) -> DataFrame:
+def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int, capacity: int, order: tuple[str, str] | None = None, run_tokens: int = 0) -> DataFrame:
     """Pieces of at most ``capacity`` ids, cut at multiples of it.
 
     Columns: the id, ``start``, ``ids`` (little-endian, 2 bytes each if the
-    vocabulary allows), ``doc_tokens`` and ``spread`` (a number for dealing).
+    vocabulary allows), ``doc_tokens`` and ``spread``: a number for dealing or,
+    with ``order`` (file, row), the first sequence id of the piece's run.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     arrow = pa.schema([("start", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("spread", pa.int64())])
@@ -80,9 +91,12 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, end_id:
     def run(batches):
         enc, seen = encoder(path), 0
         step, end = capacity * enc.dtype.itemsize, np.array([end_id], enc.dtype).tobytes()
+        head = file = None  # first sequence id of the run, and its file
+        held = sub = 0  # tokens of the run, runs that begin at the same row
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            places = [batch.column(k).to_pylist() for k in (2, 3)] if order else None
+            for at, to in size_runs(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(), BATCH_BYTES):
+                part = batch.slice(at, to - at)
                 rows, start, ids, tokens, spread = [], [], [], [], []
                 for r, raw in enumerate(enc.encode(part.column(1).to_pylist())):
                     raw += end
@@ -91,17 +105,40 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, end_id:
                         start.append(cut // enc.dtype.itemsize)
                         ids.append(raw[cut : cut + step])
                         tokens.append(len(raw) // enc.dtype.itemsize)
-                        # The row's number parts repeated rows with equal ids.
-                        spread.append(zlib.crc32(b"%d %d" % (start[-1], seen), zlib.crc32(ids[-1])))
+                        if order:
+                            now = places[0][at + r], places[1][at + r]
+                            if now[0] != file or held >= run_tokens:
+                                first = _first_id(*now)
+                                sub = sub + 1 if head is not None and head >> LOCAL_BITS == first >> LOCAL_BITS else 0
+                                head, file, held = first + sub * _locals(run_tokens, capacity), now[0], 0
+                                if head >> LOCAL_BITS != first >> LOCAL_BITS:
+                                    raise ValueError(f"row {now[1]} of file {now[0]} is too long for an ordered sequence id")
+                            held += len(ids[-1]) // enc.dtype.itemsize
+                            spread.append(head)
+                        else:  # the row's number parts repeated rows with equal ids
+                            spread.append(zlib.crc32(b"%d %d" % (start[-1], seen), zlib.crc32(ids[-1])))
                     seen += 1
                 cols = [pa.array(c, f.type) for c, f in zip((start, ids, tokens, spread), arrow)]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), *cols], ["id", *arrow.names])
 
     schema = f"id {kind}, start long, ids binary, doc_tokens long, spread long"
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).cast("long") for c in order or ()))
+    return chosen.mapInArrow(run, schema)
+
+
+def _first_id(file: int, row: int) -> int:
+    if row >> ROW_BITS or file >> 63 - ROW_BITS - LOCAL_BITS:
+        raise ValueError(f"file {file} or row {row} is too large for an ordered sequence id")
+    return (file << ROW_BITS | row) << LOCAL_BITS
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tokenizer: str | None = None, end_id: int = 2, capacity: int = CAPACITY, shard_bytes: int = SHARD_BYTES, linear: float = 1.0, quadratic: float = QUADRATIC) -> DataFrame:
+def _locals(run_tokens: int, capacity: int) -> int:
+    """Sequences of a run at most: it may exceed its size by one piece, and its
+    remainder takes a sequence for each binary digit."""
+    return -(-run_tokens // capacity) + 1 + capacity.bit_length()
+
+
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tokenizer: str | None = None, end_id: int = 2, capacity: int = CAPACITY, shard_bytes: int = SHARD_BYTES, linear: float = 1.0, quadratic: float = QUADRATIC, order: tuple[str, str] | None = None) -> DataFrame:
     """Pack every document; one row per piece, with its ids.
 
     Columns: the document's id (under ``id_col``), ``start`` and ``length`` of
@@ -112,14 +149,23 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tok
     A null or empty text is its end id alone. Null and repeated ids are kept;
     each row is a document of its own. An empty table gives no rows. Other
     columns of ``docs`` are not read. Equal lengths are dealt by id, start and
-    content.
+    content. Which shard a piece goes to, and so ``sequence_id`` and the cuts,
+    also depends on how the input is split into tasks.
+
+    order: columns (file, row) of non-negative numbers in which the rows of
+    each partition ascend, file by file. Shards are then runs of successive
+    rows of about ``shard_bytes`` / 4 tokens, and sequence ids ascend with
+    (file, row) from run to run.
     """
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
     kind = docs.schema[id_col].dataType.simpleString()
-    size = docs.select(F.sum(F.octet_length(F.col(text_col).cast("string")) + 1)).first()[0] or 1
-    shards = -(-int(size) // shard_bytes)
     dtype = encoder(path).dtype
-    pieces = token_pieces(docs, id_col, text_col, path, end_id, capacity)
+    pieces = token_pieces(docs, id_col, text_col, path, end_id, capacity, order, max(1, shard_bytes // 4))
+    if order:
+        sharded = pieces.withColumn("shard", F.col("spread"))
+    else:
+        size = docs.select(F.sum(F.octet_length(F.col(text_col).cast("string")) + 1)).first()[0] or 1
+        sharded = pieces.withColumn("shard", F.shiftleft(F.pmod("spread", F.lit(-(-int(size) // shard_bytes))).cast("long"), 24))
 
     def deal_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows["n"] = rows["ids"].map(len) // dtype.itemsize
@@ -130,12 +176,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tok
         cost = linear * dealt["length"] + quadratic * dealt["length"] ** 2.0
         return pd.DataFrame({
             "id": src["id"], "start": src["start"] + dealt["cut"], "length": dealt["length"], "doc_tokens": src["doc_tokens"], "ids": ids,
-            "ids_crc32": [ids_crc32(np.frombuffer(b, dtype)) for b in ids], "sequence_id": (int(key[0]) << 24) + dealt["local"], "offset": dealt["offset"],
+            "ids_crc32": [ids_crc32(np.frombuffer(b, dtype)) for b in ids], "sequence_id": int(key[0]) + dealt["local"], "offset": dealt["offset"],
             "sequence_tokens": dealt["length"].groupby(dealt["local"]).transform("sum"), "sequence_cost": cost.groupby(dealt["local"]).transform("sum"),
         })
 
     schema = f"id {kind}, start long, length long, doc_tokens long, ids binary, ids_crc32 long, sequence_id long, offset long, sequence_tokens long, sequence_cost double"
-    sharded = pieces.withColumn("shard", F.pmod("spread", F.lit(shards)).cast("long"))
     return sharded.groupBy("shard").applyInPandas(deal_shard, schema).withColumnRenamed("id", id_col)
 
 

@@ -41,6 +41,36 @@ def test_stages(spark, tmp_path):
     assert packed.where("start = 0").count() == mixed.count()
 
 
+def test_sequences_follow_the_curriculum(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    path = f"file://{tmp_path}/mixed"
+    corpus_pipeline.mix_sources(spark, docs, "").write.parquet(path)
+    packed = corpus_pipeline.pack_sequences(spark, spark.read.parquet(path), "").join(docs.select("doc_id", "source").distinct(), "doc_id").toPandas()
+    filled = packed.groupby("sequence_id").length.sum()
+    assert ((filled == 4096) | (filled & (filled - 1) == 0)).all()
+    total = packed.length.sum()
+    done = (filled.cumsum() - filled / 2) / total  # when each sequence is trained on
+    packed["time"] = packed.sequence_id.map(done) * packed.length
+    place = {s: k % 3 for k, s in enumerate(sorted(packed.source.unique()))}  # schedules: level, rising, falling
+    by = packed.groupby(packed.source.map(place))[["time", "length"]].sum()
+    mean = (by.time / by.length).to_dict()
+    # A weight that rises from 0.5 to 1.5 has its mean at 7/12, one that falls at 5/12.
+    assert mean[1] - mean[0] > 0.02 and mean[0] - mean[2] > 0.02 and mean[1] - mean[2] > 0.1, mean
+
+
+def test_ordered_runs_are_bounded_and_ascend(spark, tmp_path):
+    from tessera.llm import packing
+
+    rows = [(i, " ".join(["word"] * (5000 if i == 3 else 40)), 0, i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, f long, r long").coalesce(1)
+    got = packing.pack(docs, capacity=64, shard_bytes=1600, order=("f", "r")).toPandas()
+    run = got.groupby(got.sequence_id.map(lambda x: x >> packing.LOCAL_BITS))
+    assert got.length.sum() == sum(len(t.split()) + 1 for _, t, _, _ in rows)
+    assert got.groupby("sequence_id").length.sum().max() <= 64
+    first = run.doc_id.min().sort_index()
+    assert first.is_monotonic_increasing and len(first) > 5
+
+
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
 
