@@ -6,6 +6,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +59,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(shared: Broadcast) -> None:
+    """Let a worker forget a broadcast value; it is read from the executor's
+    copy again when it is next asked for."""
+    shared.__dict__.pop("_value", None)
+
+
 def free_name(taken: list[str], wanted: str) -> str:
     """``wanted``, or that with underscores, so that it clashes with none."""
     have = {x.lower() for x in taken}

@@ -4,8 +4,10 @@ A text is lower-cased, every run of characters that are not letters becomes one
 space, and its character n-grams (``ORDERS``, with word borders) are hashed to
 ``BUCKETS``. Training counts them for each language; the model is the matrix of
 their log probabilities, broadcast to the workers: ``BUCKETS`` x 4 bytes for
-each language, whatever the input's size. A batch of texts is scored together:
-the rows of the matrix that its n-grams select are summed by document.
+each language, whatever the input's size. More than ``SHARD_LANGUAGES`` go to
+several matrices, of which a worker holds one at a time. A batch of texts is
+scored together: the rows of the matrix that its n-grams select are summed by
+document. A very long text is scored in windows that overlap by an n-gram.
 """
 
 from __future__ import annotations
@@ -14,10 +16,11 @@ import os
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, table, text_runs
+from tessera.llm.common import fold, released, table, text_runs, written
 
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 16
@@ -25,8 +28,10 @@ BUCKETS = 1 << 16
 TRAIN_DOCS = 2000
 SMOOTHING = 0.5
 UNKNOWN = "und"
-#: Above this the matrix would exceed 512 MB.
-MOST_LANGUAGES = 2048
+#: Languages of one matrix (16 MB).
+SHARD_LANGUAGES = 64
+#: Up to so many languages their sampling rates are broadcast, else joined.
+BROADCAST_LANGUAGES = 10_000
 #: Characters that are scored together.
 CHARS = 1 << 19
 
@@ -40,20 +45,30 @@ def letters() -> np.ndarray:
     return _LETTERS[os.getpid()]
 
 
-def ngrams(texts: list[str | None], orders: tuple[int, ...] = ORDERS, buckets: int = BUCKETS):
-    """For each order (text of each n-gram, bucket of each n-gram), and which
-    texts have a letter."""
+def ngrams(texts: list[str | None], orders: tuple[int, ...] = ORDERS, buckets: int = BUCKETS, before: np.ndarray | None = None, more: bool = False):
+    """For each order (text of each n-gram, bucket of each n-gram); which texts
+    have a letter; and the last code points.
+
+    before: the last code points of the first text's part that came before,
+    whose own n-grams are left out; more: the last text goes on.
+    """
     raw = [np.frombuffer((t or "").lower().encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
-    sizes = np.array([len(r) + 2 for r in raw])
     space = np.full(1, 32, np.uint32)
-    points = np.concatenate([x for r in raw for x in (space, r, space)]) if raw else space
+    heads = [space] * len(raw)
+    if before is not None:
+        heads[0] = before
+    tails = [space] * (len(raw) - more) + [space[:0]] * more
+    sizes = np.array([len(h) + len(r) + len(t) for h, r, t in zip(heads, raw, tails)])
+    points = np.concatenate([x for h, r, t in zip(heads, raw, tails) for x in (h, r, t)]) if raw else space
     owner = np.repeat(np.arange(len(raw)), sizes)
     letter = letters()[points]
     points = np.where(letter, points, np.uint32(32))
     # Of a run of spaces one stays; each text begins and ends with its own.
     keep = letter | np.r_[True, letter[:-1]] | np.r_[True, owner[1:] != owner[:-1]]
+    old = 0 if before is None else len(before)
+    keep[:old] = True
     points, owner, letter = points[keep], owner[keep], letter[keep]
-    some = np.bincount(owner[letter], minlength=len(raw)) > 0
+    some = np.bincount(owner[letter & (np.arange(len(letter)) >= old)], minlength=len(raw)) > 0
     out, h = [], np.zeros(len(points), np.uint32)
     for n in range(1, max(orders) + 1):
         if n > len(points):
@@ -64,91 +79,131 @@ def ngrams(texts: list[str | None], orders: tuple[int, ...] = ORDERS, buckets: i
             good = owner[: len(h)] == owner[n - 1 :]
             good &= letter[: len(h)] | letter[min(1, n - 1) : len(h) + min(1, n - 1)]
             good &= letter[n - 1 :] | letter[max(0, n - 2) : len(points) - min(1, n - 1)]
+            good[: max(0, old - n + 1)] = False
             mixed = (h[good] ^ np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
             out.append((owner[: len(h)][good], ((mixed >> np.uint32(15)) ^ mixed) & np.uint32(buckets - 1)))
-    return out, some
+    return out, some, points[-(max(orders) - 1) :]
+
 
+def windows(texts: list[str | None], chars: int, buckets: int):
+    """(first text, texts, their n-grams, which have a letter) of runs of texts,
+    or of successive parts of one long text."""
+    for a, b in text_runs(texts, chars):
+        for lo, hi in ((a, b - 1), (b - 1, b)) if len(texts[b - 1] or "") > chars else ((a, b),):
+            if hi - lo != 1 or len(texts[lo] or "") <= chars:
+                if hi > lo:
+                    yield lo, hi - lo, *ngrams(texts[lo:hi], buckets=buckets)[:2]
+                continue
+            tail = None
+            for at in range(0, len(texts[lo]), chars):
+                part = texts[lo][at : at + chars]
+                grams, some, tail = ngrams([part], buckets=buckets, before=tail, more=at + chars < len(texts[lo]))
+                yield lo, 1, grams, some
 
-def fit(labelled: DataFrame, lang_col: str, text_col: str, key_col: str, *, train_docs: int = TRAIN_DOCS, smoothing: float = SMOOTHING, buckets: int = BUCKETS) -> tuple[list[str], np.ndarray]:
-    """Languages (in code point order) and log probabilities [bucket, language].
+
+def fit(labelled: DataFrame, lang_col: str, text_col: str, key_col: str, *, train_docs: int = TRAIN_DOCS, smoothing: float = SMOOTHING, buckets: int = BUCKETS, shard_languages: int = SHARD_LANGUAGES) -> list[tuple[list[str], Broadcast]]:
+    """Languages (in code point order) and the broadcast log probabilities
+    [bucket, language], for each ``shard_languages`` languages.
 
     Of a language with more than ``train_docs`` rows, those whose key hashes
     below ``train_docs`` / rows are read, so training costs the same at any
-    scale. Rows without text or language are not used.
+    scale. Rows without text or language are not used. The driver holds the
+    languages' names and one matrix at a time.
     """
-    labelled = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    per = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().collect()}
-    langs = sorted(per)
-    if len(langs) > MOST_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages: the matrix would not fit a broadcast")
-    if not langs:
-        return [], np.zeros((buckets, 0), np.float32)
-    share = F.pmod(F.xxhash64(key_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    limit = F.element_at(F.create_map(*(F.lit(x) for k in langs for x in (k, min(1.0, train_docs / per[k])))), F.col(lang_col))
-    sample = labelled.where(share < limit).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    spark = labelled.sparkSession
+    labelled = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.xxhash64(key_col).alias("key"))
+    per = sorted((r[0], r[1]) for r in labelled.groupBy("lang").count().toLocalIterator())
+    if not per:
+        return []
+    rates = spark.createDataFrame([(lang, k, min(1.0, train_docs / n)) for k, (lang, n) in enumerate(per)], "lang string, number int, rate double")
+    rates = F.broadcast(rates) if len(per) <= BROADCAST_LANGUAGES else rates
+    sample = labelled.join(rates, "lang").where(F.pmod("key", F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.col("rate")).select("number", "text")
 
     def count(batches):
-        counts: dict[str, np.ndarray] = {}
+        counts: dict[int, np.ndarray] = {}
         for batch in batches:
-            names, texts = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
-            for a, b in text_runs(texts, CHARS):
-                grams, _ = ngrams(texts[a:b], buckets=buckets)
-                for name in set(names[a:b]):
-                    own = names[a:b] == name
-                    total = counts.setdefault(name, np.zeros(buckets, np.int64))
+            number, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for first, n, grams, _ in windows(texts, CHARS, buckets):
+                own = number[first : first + n]
+                for lang in np.unique(own):
+                    total = counts.setdefault(int(lang), np.zeros(buckets, np.int64))
                     for owner, bucket in grams:
-                        total += np.bincount(bucket[own[owner]], minlength=buckets)
-        for name, total in counts.items():
+                        total += np.bincount(bucket[own[owner] == lang], minlength=buckets)
+            if len(counts) > shard_languages:
+                yield from out(counts)
+                counts = {}
+        yield from out(counts)
+
+    def out(counts):
+        for lang, total in counts.items():
             used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(used)), pa.array(used), pa.array(total[used])], ["lang", "bucket", "n"])
-
-    counted = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    matrix = np.full((buckets, len(langs)), smoothing)
-    matrix[counted["bucket"].to_numpy(), np.searchsorted(langs, counted["lang"].to_numpy())] += counted["n"].to_numpy()
-    return langs, np.log(matrix / matrix.sum(axis=0)).astype(np.float32)
-
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), lang, np.int32)), pa.array(used.astype(np.int32)), pa.array(total[used])], ["number", "bucket", "n"])
 
-def score_texts(texts: list[str | None], langs: list[str], matrix: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Language and its posterior (equal priors) of each text."""
+    def columns(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column(c).to_numpy().tobytes()], pa.binary()) for c in range(3)], ["number", "bucket", "n"])
+
+    counted = sample.mapInArrow(count, "number int, bucket int, n long").groupBy("number", "bucket").agg(F.sum("n").alias("n"))
+    if len(per) > shard_languages:
+        counted = written(counted, "ngrams")
+    model = []
+    for a in range(0, len(per), shard_languages):
+        names = [lang for lang, _ in per[a : a + shard_languages]]
+        matrix = np.full((buckets, len(names)), smoothing)
+        for number, bucket, n in counted.where(F.col("number").between(a, a + len(names) - 1)).mapInArrow(columns, "number binary, bucket binary, n binary").toLocalIterator():
+            matrix[np.frombuffer(bucket, np.int32), np.frombuffer(number, np.int32) - a] += np.frombuffer(n, np.int64)
+        model.append((names, spark.sparkContext.broadcast(np.log(matrix / matrix.sum(axis=0)).astype(np.float32))))
+    return model
+
+
+def log_likelihoods(texts: list[str | None], matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """([text, language], which texts have a letter)."""
     buckets, k = matrix.shape
-    names, scores = [], []
-    for a, b in text_runs(texts, max(1, CHARS * 4 // max(4, k))):
-        grams, some = ngrams(texts[a:b], buckets=buckets)
-        total = np.zeros((b - a, k))
+    total, letter = np.zeros((len(texts), k)), np.zeros(len(texts), bool)
+    for begin, n, grams, some in windows(texts, max(1, CHARS * 4 // max(4, k)), buckets):
+        letter[begin : begin + n] |= some
         for owner, bucket in grams:
-            if len(owner) and k:
+            if len(owner):
                 first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-                total[owner[first]] += np.add.reduceat(matrix[bucket], first, axis=0, dtype=np.float64)
-        total /= len(ORDERS)  # each character is in an n-gram of every order
-        if k:
-            best = total.argmax(axis=1)
-            sure = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-            names += [langs[i] if s else UNKNOWN for i, s in zip(best, some)]
-            scores.append(np.where(some, sure, 0.0))
-        else:
-            names += [UNKNOWN] * (b - a)
-            scores.append(np.zeros(b - a))
-    return names, np.concatenate(scores) if scores else np.zeros(0)
-
-
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", keep: tuple[str, ...] = (), *, language: str = "lang_pred", score: str = "score") -> DataFrame:
+                total[begin + owner[first]] += np.add.reduceat(matrix[bucket], first, axis=0, dtype=np.float64)
+    return total / len(ORDERS), letter  # each character is in an n-gram of every order
+
+
+def score_texts(texts: list[str | None], model: list[tuple[list[str], Broadcast]]) -> tuple[list[str], np.ndarray]:
+    """Language and its posterior (equal priors) of each text."""
+    best, mass = np.full(len(texts), -np.inf), np.zeros(len(texts))
+    names, letter = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts), bool)
+    for langs, shared in model:
+        total, letter = log_likelihoods(texts, shared.value)
+        if len(model) > 1:
+            released(shared)
+        top = total.argmax(axis=1)
+        high = total[np.arange(len(texts)), top]
+        more = high > best  # ties: the earlier language
+        names[more] = np.array(langs, object)[top[more]]
+        new = np.maximum(best, high)
+        mass = mass * np.exp(best - new) + np.exp(total - new[:, None]).sum(axis=1)
+        best = new
+    names[~letter] = UNKNOWN
+    return names.tolist(), np.where(letter, 1 / np.maximum(mass, 1), 0.0)
+
+
+def identify(docs: DataFrame, model: list[tuple[list[str], Broadcast]], text_col: str = "text", keep: tuple[str, ...] = (), *, language: str = "lang_pred", score: str = "score") -> DataFrame:
     """Columns of ``keep`` with the predicted language and its score.
 
     A null text or one without a letter is ``und`` with score 0. Of equally
     likely languages the first in code point order is taken. Texts are read
     whole. Repeated rows get equal results; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     chosen = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").cast("string").alias("_langid_text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[:-1]), f"`{language}` string", f"`{score}` double"])
     names = [*chosen.columns[:-1], language, score]
 
     def run(batches):
-        langs, matrix = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                lang, sure = score_texts(part.column(part.num_columns - 1).to_pylist(), langs, matrix)
+                lang, sure = score_texts(part.column(part.num_columns - 1).to_pylist(), model)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(lang, pa.string()), pa.array(sure)], names)
 
     return chosen.mapInArrow(run, schema)

@@ -23,10 +23,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import size_runs, table
 
 EBML, VOID, CRC = 0x1A45DFA3, 0xEC, 0xBF
 EBML_VERSION, EBML_READ_VERSION, EBML_MAX_ID, EBML_MAX_SIZE, DOC_TYPE, DOC_VERSION, DOC_READ_VERSION = 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
@@ -42,6 +43,8 @@ FRAME = 512
 LACE = 8
 BLOCKS = 32
 PAD = 64
+#: Bytes of texts or files that are taken together, about.
+BATCH_BYTES = 4 << 20
 
 
 # ------------------------------------------------------------------ reading
@@ -322,8 +325,9 @@ def _mapped(df: DataFrame, col: str, keep: tuple[str, ...], fields: list[tuple[s
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            sizes = pc.binary_length(batch.column(batch.num_columns - 1)).fill_null(0).to_numpy()
+            for at, to in size_runs((sizes + 4096).tolist(), BATCH_BYTES):
+                part = batch.slice(at, to - at)
                 rows, made = [], []
                 for r, value in enumerate(part.column(part.num_columns - 1).to_pylist()):
                     for row in make(value):
@@ -385,22 +389,28 @@ def features(df: DataFrame, media_col: str = "media", keep: tuple[str, ...] = ()
     """``keep`` and what is read back from each file's packets: ``n_bytes``
     (samples that count), ``payload_bytes``, ``payload_sha256``,
     ``tail_crc32`` (last 64 of those that count with their padding),
-    ``media_bytes``, ``media_sha256`` and ``feature``. A null file gives no
-    row; bytes that are no Matroska file stop the query."""
-    fields = [("n_bytes", "long", pa.int64()), ("payload_bytes", "long", pa.int64()), ("payload_sha256", "string", pa.string()), ("tail_crc32", "long", pa.int64()), ("media_bytes", "long", pa.int64()), ("media_sha256", "string", pa.string()), ("feature", "string", pa.string())]
+    ``media_bytes``, ``media_sha256``, ``feature`` and ``error``. A null file
+    gives no row; bytes that are no Matroska file, or have no audio track 1,
+    give null columns (but ``media_bytes`` and ``media_sha256``) and the reason
+    in ``error``."""
+    fields = [("n_bytes", "long", pa.int64()), ("payload_bytes", "long", pa.int64()), ("payload_sha256", "string", pa.string()), ("tail_crc32", "long", pa.int64()), ("media_bytes", "long", pa.int64()), ("media_sha256", "string", pa.string()), ("feature", "string", pa.string()), ("error", "string", pa.string())]
 
     def rows(data):
         if data is None:
             return []
-        media = parse(data)
-        payload, n = samples(data, media)
-        return [(n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature(payload, media))]
+        whole = len(data), hashlib.sha256(data).hexdigest()
+        try:
+            media = parse(data)
+            payload, n = samples(data, media)
+        except (ValueError, IndexError, KeyError, struct.error) as e:
+            return [(None, None, None, None, *whole, None, f"{type(e).__name__}: {e}")]
+        return [(n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), *whole, feature(payload, media), None)]
 
     return _mapped(df, media_col, keep, fields, rows)
 
 
 def op7_matroska_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features(media_column(table(spark, sf_dir, "documents"), keep=("doc_id",)), keep=("doc_id",))
+    return features(media_column(table(spark, sf_dir, "documents"), keep=("doc_id",)), keep=("doc_id",)).drop("error")
 
 
 QUERIES = {"op7_matroska_media": op7_matroska_media}

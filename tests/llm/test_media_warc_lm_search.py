@@ -62,6 +62,11 @@ def test_media_columns(edge, make_docs, spark):
     assert table.where("doc_id = 7").count() == math.ceil(150016 / 512)
     odd = spark.createDataFrame([(1, None), (2, bytearray(b"no media")), (3, bytearray(b""))], "doc_id long, media binary")
     assert [(r.doc_id, r.error is not None) for r in matroska.packets(odd, keep=("doc_id",)).collect()] == [(2, True), (3, True)]
+    whole = matroska.mux(b"abc")
+    odd = odd.union(spark.createDataFrame([(4, bytearray(whole)), (5, bytearray(whole[:-20])), (6, bytearray(file_of()))], odd.schema))
+    found = {r.doc_id: r for r in matroska.features(odd, keep=("doc_id",)).collect()}
+    assert sorted(found) == [2, 3, 4, 5, 6] and [i for i in found if found[i].error is None] == [4]
+    assert found[4].n_bytes == 3 and found[2].media_bytes == 8 and all(found[i].payload_sha256 is None for i in (2, 3, 5, 6))
     assert matroska.features(matroska.media_column(make_docs([]))).count() == 0
 
 

@@ -76,7 +76,7 @@ def test_mix_edge_cases(edge, make_docs):
 
 def test_ngrams_equal_brute_force():
     text = "Ab, cd! É1x"
-    grams, some = langid.ngrams([text])
+    grams, some, _ = langid.ngrams([text])
     clean = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
     while "  " in clean:
         clean = clean.replace("  ", " ")
@@ -86,12 +86,80 @@ def test_ngrams_equal_brute_force():
     assert some.tolist() == [True]
 
 
+class Shared:
+    """What a worker sees of a broadcast value."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def clean_of(text):
+    return "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+
+
+def grams_of(text):
+    """Buckets of all n-grams of a text, from the definition."""
+    clean, out = " " + " ".join(clean_of(text)) + " " * bool(clean_of(text)), []
+    for n in (1, 2, 3, 4):
+        for i in range(len(clean) - n + 1):
+            if clean[i : i + n].strip():
+                h = 0
+                for c in clean[i : i + n]:
+                    h = (h * 0x01000193 + ord(c)) % 2**32
+                h = (h ^ n * 0x9E3779B1 % 2**32) * 0x85EBCA6B % 2**32
+                out.append((h >> 15 ^ h) % 2**16)
+    return out
+
+
+TRAIN = [(1, "The cat sat, on the mat", "x"), (2, "le chat était là", "y"), (3, "der Hund läuft 12 m", "z"), (4, "the dog", "x"), (5, None, "x"), (6, "lost", None), (7, "un chien", "y")]
+
+
+def brute_bayes(text):
+    if not clean_of(text):
+        return "und", 0.0
+    langs, logs = "xyz", []
+    for lang in langs:
+        counts = np.full(2**16, 0.5)
+        for _, t, own in TRAIN:
+            if own == lang and t is not None:
+                np.add.at(counts, grams_of(t), 1)
+        logs.append(np.log(counts / counts.sum())[grams_of(text)].sum() / 4)
+    p = np.exp(np.array(logs) - max(logs))
+    return langs[int(np.argmax(logs))], 1 / p.sum()
+
+
+@pytest.mark.parametrize("languages,chars", [(64, 1 << 19), (1, 5), (2, 16)])
+def test_scores_equal_brute_force(spark, make_docs, monkeypatch, languages, chars):
+    monkeypatch.setattr(langid, "CHARS", chars)
+    model = langid.fit(make_docs(TRAIN), "lang", "text", "doc_id", shard_languages=languages)
+    assert [x for names, _ in model for x in names] == ["x", "y", "z"]
+    texts = ["The cat", "le chien était perdu", "Hund", "", None, "1 2", "qq xx", "a  b--c the the", "der la the  " * 9]
+    names, scores = langid.score_texts(texts, model)
+    for t, name, score in zip(texts, names, scores):
+        assert (name, pytest.approx(score, rel=1e-4)) == brute_bayes(t)
+
+
+def test_long_texts_have_the_n_grams_of_their_windows():
+    rng = random.Random(4)
+    for _ in range(200):
+        texts = ["".join(rng.choices("ab É,1 ", k=rng.randint(0, 30))) for _ in range(rng.randint(1, 4))]
+        for chars in (1, 3, 8):
+            found = {i: [] for i in range(len(texts))}
+            for first, _, grams, _ in langid.windows(texts, chars, 1 << 16):
+                for owner, bucket in grams:
+                    for o, x in zip(owner, bucket):
+                        found[first + o].append(int(x))
+            for i, t in enumerate(texts):
+                want = sorted(grams_of(t)) if clean_of(t) else []
+                assert sorted(found[i]) == want, (t, chars)
+
+
 def test_batches_score_as_single_texts():
-    langs, matrix = ["a", "b"], np.log(np.random.default_rng(1).dirichlet(np.ones(langid.BUCKETS), 2).T).astype(np.float32)
+    model = [(["a", "b"], Shared(np.log(np.random.default_rng(1).dirichlet(np.ones(langid.BUCKETS), 2).T).astype(np.float32)))]
     texts = ["one two", "", None, "12", "drei, vier", "x"]
-    names, scores = langid.score_texts(texts, langs, matrix)
+    names, scores = langid.score_texts(texts, model)
     for t, n, s in zip(texts, names, scores):
-        one = langid.score_texts([t], langs, matrix)
+        one = langid.score_texts([t], model)
         assert (n, pytest.approx(s)) == (one[0][0], one[1][0])
     assert [n == "und" for n in names] == [False, True, True, True, False, False]
 
@@ -108,7 +176,7 @@ def test_language_held_out_accuracy(spark):
 
 def test_language_edge_cases(edge, make_docs):
     model = langid.fit(make_docs([(1, "alpha beta", "x"), (2, "gamma", "y"), (3, None, "x"), (4, "t", None)]), "lang", "text", "doc_id")
-    assert model[0] == ["x", "y"]
+    assert [names for names, _ in model] == [["x", "y"]]
     got = {r.doc_id: r for r in langid.identify(edge, model, keep=("doc_id", "score"), score="lang_score").collect()}
     assert got[1].lang_pred == got[2].lang_pred == "und" and got[5].lang_pred == "x" and got[5].score == 2.0
     none = langid.fit(make_docs([]), "lang", "text", "doc_id")
@@ -158,6 +226,66 @@ def test_line_features_do_not_depend_on_the_batch():
         at += n
 
 
+def test_long_lines_add_up_over_segments(monkeypatch):
+    texts = ["One line!! that is long, and 12 é.\nTWO|TWO #\n", "a" * 40, "b b b b b b b b b\n" + "c" * 30]
+    whole = quality.line_features(texts)
+    monkeypatch.setattr(quality, "CHARS", 8)
+    cut = quality.line_features(texts)
+    repeats = {k + 20 * i for k in (10, 11, 16) for i in range(3)}  # not across a cut
+    same = [k for k in range(quality.FEATURES) if k not in repeats]
+    assert np.allclose(whole[0][:, same], cut[0][:, same]) and (whole[1] == cut[1]).all() and (whole[2] == cut[2]).all()
+
+
+def brute_line(line, before):
+    """A line's own measures, from their definitions."""
+    raw = line.encode()
+    n, words = max(1, len(raw)), line.encode().split()
+    share = lambda chars: sum(c in chars for c in raw) / n
+    upper, symbol = share(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), share(b"#$%&*+/<=>@[\\]^_`{}~")
+    pipe, high = share(b"|"), sum(c >= 128 for c in raw) / n
+    same = [sum(a == b for a, b in zip(words, words[k:])) for k in (1, 2)]
+    w = max(1, len(words))
+    return [
+        math.log1p(len(raw)) / 8, upper**0.5, upper, share(b"0123456789") ** 0.5, share(b".,;:?'\"()-") ** 0.5, pipe**0.5, share(b"!") ** 0.5, symbol**0.5, symbol, high, same[0] / w, same[1] / w, min(len(raw) / w, 40) / 10,
+        line[-1:] in (".", "!", "?"), not raw, bool(raw) and before == line, same[0] > 0.2 * len(words), upper > 0.4, pipe > 0.02, symbol > 0.04,
+    ]
+
+
+def test_line_features_equal_their_definitions():
+    texts = ["Some Text, here: 12!\nSome Text, here: 12!\n\n| A | B |\nx x x y x\nÉté #1 $$", "ALL CAPS HERE\nend."]
+    x, size, lines = quality.line_features(texts)
+    at = 0
+    for t in texts:
+        own = [brute_line(line, before) for line, before in zip(t.split("\n"), [None, *t.split("\n")])]
+        none = [0] * 20
+        want = [[*o, *(own[i - 1] if i else none), *(own[i + 1] if i + 1 < len(own) else none), i == 0, i + 1 == len(own), 1] for i, o in enumerate(own)]
+        assert np.allclose(x[at : at + len(own)], np.array(want, float), atol=1e-6)
+        at += len(own)
+
+
+def test_document_score_is_the_length_weighted_mean_of_marginals():
+    rng = np.random.default_rng(3)
+    model = rng.normal(size=quality.FEATURES), rng.normal(size=(2, 2))
+    texts = ["first line here\nSECOND!\n\nlast one | x", None]
+    scores, _ = quality.score_texts(texts, model)
+    for t, s in zip(texts, scores):
+        x, size, _ = quality.line_features([t])
+        emit, total, good = x @ model[0], 0.0, np.zeros(len(x))
+        for y in itertools.product((0, 1), repeat=len(x)):
+            w = math.exp(sum(e for e, k in zip(emit, y) if k) + sum(model[1][a, b] for a, b in zip(y, y[1:])))
+            total, good = total + w, good + np.array(y) * w
+        assert math.isclose(s, (good / total * size).sum() / size.sum(), rel_tol=1e-9)
+
+
+def test_training_keeps_long_documents_and_one_text_an_id(spark, make_docs):
+    long = "\n".join(f"line {i} of it." for i in range(500))
+    docs = make_docs([(1, long), (2, "BAD BAD\n!!!! ####"), (2, "other"), *[(3, "Good text here.")] * 50])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (3, 1)], "doc_id long, quality int")
+    w, trans = quality.fit(docs, labels)
+    assert np.abs(w).sum() > 0
+    assert (quality.fit(docs.repartition(5), labels)[0] == w).all()
+
+
 def test_quality_held_out_accuracy(spark):
     d = "/root/testdata/sf0.01"
     got = quality.op5_line_quality(spark, d).toPandas()
