@@ -11,10 +11,12 @@ for (key, 1), (key, 2), ... until one is missing; a bigram with an unknown word
 is not probed, and no count exceeds those of its words. The smoothed
 probability of w after v is (count(v w) + K * base(w)) / (count(v) + K).
 
-The broadcast is bounded: beyond ``SHARD_WORDS`` words or ``SHARD_BYTES`` of
-filter the ranges are divided into several shards, each is broadcast alone, and
-a pass over the texts for each fills in the counts that it knows, with the same
-results. Words are told apart by 64-bit hashes.
+What a worker holds is bounded: beyond ``SHARD_BYTES`` of tables and filters the
+ranges are divided into several broadcasts. A worker collects texts of about
+``HELD_TOKENS`` tokens, asks one shard after another for the counts that it
+knows, forgetting each before the next, and then scores; so there is one pass
+over the texts whatever the number of shards, with the same results. Long texts
+are scored ``STEP_TOKENS`` at a time. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, table, text_runs, written
+from tessera.llm.common import BATCH_BYTES, bounded, fold, released, table, text_runs, written
 
 BASE = 1.5
 HASHES = 4
@@ -33,14 +35,17 @@ BITS_PER_EVENT = 8
 PRIOR = 300.0
 #: Keys of one range, about.
 RANGE_KEYS = 1 << 18
-#: Distinct words and bytes of filter in one broadcast, at most.
-SHARD_WORDS = 8_000_000
-SHARD_BYTES = 128 << 20
+#: Bytes of unigram tables and filters in one broadcast, about. Every Python
+#: worker of an executor has its own copy.
+SHARD_BYTES = 48 << 20
+#: Tokens whose counts are collected over the shards, and scored together.
+HELD_TOKENS = 1 << 20
+STEP_TOKENS = 1 << 18
 #: Bytes hashed at once.
 WINDOW = 1 << 20
 #: Characters of texts that are taken together, and tokens pre-aggregated together.
 CHARS = 1 << 20
-TOKENS = 1 << 22
+TOKENS = 1 << 21
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -226,7 +231,7 @@ def count_ranges(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
             key, c = (np.concatenate([m[i] for m in made]) for i in (0, 1))
             return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64) >> shift), pa.array(key.view(np.int64)), pa.array(c.astype(np.int64))], ["span", "key", "n"])
 
-        for batch in batches:
+        for batch in bounded(batches, 0):
             values = batch.column(0).to_pylist()
             for a, b in text_runs(values, CHARS):
                 held.append(tokens_of(values[a:b]))
@@ -267,7 +272,7 @@ def count_ranges(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
     return written(built, "ranges"), shift
 
 
-def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, prior: float = PRIOR, shard_words: int = SHARD_WORDS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, prior: float = PRIOR, shard_bytes: int = SHARD_BYTES, held_tokens: int = HELD_TOKENS, step_tokens: int = STEP_TOKENS) -> DataFrame:
     """Score every text of ``docs`` by counts of ``train``.
 
     Columns: the id, ``n_tokens``, ``n_known``, ``train_tokens``,
@@ -279,53 +284,54 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
     """
     spark = docs.sparkSession
     ranges, shift = count_ranges(train, text_col)
-    n, v, words, size = (int(x or 0) for x in ranges.agg(F.sum("tokens"), F.sum("types"), F.sum(F.octet_length("words")), F.sum(F.octet_length("filter"))).first())
-    shards = max(1, -(-words // 8 // shard_words), -(-size // shard_bytes))
-    shared = F.pmod(F.col("span"), F.lit(shards))
+    n, v, size, most = (int(x or 0) for x in ranges.agg(F.sum("tokens"), F.sum("types"), F.sum(F.octet_length("words") + F.octet_length("counts") + F.octet_length("filter")), F.count("span")).first())
+    shards = max(1, min(most, -(-size // shard_bytes)))
+    parts = []
+    for k in range(shards):  # the driver holds one shard at a time
+        rows = ranges.where(F.pmod(F.col("span"), F.lit(shards)) == k).select("span", "words", "counts", "filter").toLocalIterator()
+        parts.append(spark.sparkContext.broadcast(Ranges([(r[0], bytes(r[1]), bytes(r[2]), bytes(r[3])) for r in rows], shift)))
     kind = docs.schema[id_col].dataType.simpleString()
-    state = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.lit(None).cast("binary").alias("known"))
-
-    def step(k: int):
-        rows = [(r[0], bytes(r[1]), bytes(r[2]), bytes(r[3])) for r in ranges.where(shared == k).select("span", "words", "counts", "filter").toLocalIterator()]
-        part = spark.sparkContext.broadcast(Ranges(rows, shift))
-        last = k == shards - 1
-
-        def run(batches):
-            for batch in batches:
-                texts, known = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-                for a, b in text_runs(texts, CHARS):
-                    keys, sizes = tokens_of(texts[a:b])
-                    found = np.zeros((3, len(keys)), np.int64)  # of the token, the one before, the pair
-                    if known[a] is not None:
-                        ends = np.cumsum(sizes)
-                        for e, m, old in zip(ends, sizes, known[a:b]):
-                            found[:, e - m : e] = np.frombuffer(old, np.int64).reshape(3, m)
-                    prev = before(keys, sizes)
-                    distinct, inverse = np.unique(np.r_[keys, prev].view(np.int64), return_inverse=True)
-                    c = part.value.unigram(distinct.view(np.uint64))[inverse]
-                    found[0] += c[: len(keys)]
-                    found[1] += c[len(keys) :]
-                    # With one shard, pairs with an unknown word need no probe.
-                    ask = np.flatnonzero((found[0] > 0) & (found[1] > 0)) if shards == 1 else np.arange(len(keys))
-                    found[2, ask] += part.value.level(bigrams(prev[ask], keys[ask]))
-                    yield finish(batch, a, b, found, sizes) if last else pa.RecordBatch.from_arrays(
-                        [*batch.slice(a, b - a).columns[:2], pa.array([x.tobytes() for x in np.split(found, np.cumsum(sizes)[:-1], axis=1)], pa.binary())], ["id", "text", "known"])
-
-        return run
-
-    def finish(batch, a, b, found, sizes):
-        base = (found[0] + 1) / (n + v + 1)
-        pair = np.minimum(expected(found[2]), np.minimum(found[0], found[1]))
-        smooth = (pair + prior * base) / (found[1] + prior)
-        start = np.cumsum(sizes) - sizes
-        total = [np.add.reduceat(np.log10(x), start) for x in (base, smooth)]
-        known = np.add.reduceat((found[0] > 0).astype(np.int64), start)
-        cols = [pa.array(sizes.astype(np.int64)), pa.array(known), pa.array(np.full(b - a, n, np.int64)), *map(pa.array, total)]
-        return pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols], ["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    for k in range(shards - 1):
-        state = written(state.mapInArrow(step(k), f"id {kind}, text string, known binary"), f"known{k}")
-    out = state.mapInArrow(step(shards - 1), f"id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+    def looked_up(keys: np.ndarray, prev: np.ndarray) -> np.ndarray:
+        """[3, token]: counts of the token and the one before, level of the pair."""
+        found = np.zeros((3, len(keys)), np.int64)
+        for part in parts:
+            for at in range(0, len(keys), step_tokens):
+                span = slice(at, at + step_tokens)
+                key, old = keys[span], prev[span]
+                distinct, inverse = np.unique(np.r_[key, old].view(np.int64), return_inverse=True)
+                c = part.value.unigram(distinct.view(np.uint64))[inverse]
+                found[0, span] += c[: len(key)]
+                found[1, span] += c[len(key) :]
+                # With one shard, pairs with an unknown word need no probe.
+                ask = np.flatnonzero((found[0, span] > 0) & (found[1, span] > 0)) if shards == 1 else np.arange(len(key))
+                found[2, at + ask] += part.value.level(bigrams(old[ask], key[ask]))
+            if shards > 1:
+                released(part)
+        return found
+
+    def run(batches):
+        for batch in bounded(batches, 1, most=BATCH_BYTES if shards == 1 else 4 * BATCH_BYTES):
+            texts = batch.column(1).to_pylist()
+            for a, b in text_runs(texts, 4 * held_tokens if shards > 1 else CHARS):
+                keys, sizes = tokens_of(texts[a:b])
+                prev, owner = before(keys, sizes), np.repeat(np.arange(b - a, dtype=np.int32), sizes)
+                known, totals = np.zeros(b - a, np.int64), np.zeros((2, b - a))
+                for at in range(0, len(keys), held_tokens):
+                    found = looked_up(keys[at : at + held_tokens], prev[at : at + held_tokens])
+                    for lo in range(0, found.shape[1], step_tokens):
+                        own, (word, last, level) = owner[at + lo : at + lo + step_tokens], found[:, lo : lo + step_tokens]
+                        own = own[: len(word)]
+                        base = (word + 1.0) / (n + v + 1)
+                        pair = np.minimum(expected(level), np.minimum(word, last))
+                        for k, p in enumerate((base, (pair + prior * base) / (last + prior))):
+                            totals[k] += np.bincount(own, np.log10(p), b - a)
+                        known += np.bincount(own[word > 0], minlength=b - a)
+                cols = [pa.array(sizes.astype(np.int64)), pa.array(known), pa.array(np.full(b - a, n, np.int64)), *map(pa.array, totals)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols], ["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    out = chosen.mapInArrow(run, f"id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)
 
 

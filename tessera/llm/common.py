@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +19,14 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+#: Bytes of texts that a Python worker turns into objects at once, about.
+BATCH_BYTES = 4 << 20
+#: How Spark's text writer must write rows of bytes: as they are, each followed
+#: by a line feed. (Bytes are passed as strings, which Spark doesn't validate.)
+PLAIN = {"lineSep": "\n", "compression": "none"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -73,6 +86,28 @@ def free_name(taken: list[str], wanted: str) -> str:
     return wanted
 
 
+def shingle_hashes(text: str | None, shingle: int, seed: int, window: int = 1 << 20) -> Iterator[list[int]]:
+    """XXH64 of each run of ``shingle`` successive words of a text in lower case
+    (A-Z), joined by spaces; of fewer words the whole sequence; no word: none.
+
+    Lists of hashes, one for each window of about ``window`` bytes, so that a
+    very long text's words are never all held."""
+    raw, digest = (text or "").encode("utf-8", "replace").lower(), xxhash.xxh64_intdigest
+    words, at, some = [], 0, False
+    while at < len(raw):
+        cut = _BLANK.search(raw, at + window)
+        end = cut.start() if cut else len(raw)
+        words, at = words + raw[at:end].split(), end
+        n = len(words) - shingle + 1
+        if n < 1 and (some or at < len(raw) or not words):
+            continue
+        joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
+        n, some = max(n, 1), True
+        last, first = (ends[len(ends) - n :] - 1).tolist(), [0, *ends[: n - 1].tolist()]
+        yield [digest(joined[a:b], seed) for a, b in zip(first, last)]
+        words = words[n:]
+
+
 def size_runs(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Bounds of runs whose sizes add up to about ``most``."""
     start = held = n = 0
@@ -85,6 +120,15 @@ def size_runs(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, n
 
 
+def bounded(batches: Iterable[pa.RecordBatch], column: int, most: int = BATCH_BYTES, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Slices of batches in which a column's values have about ``most`` bytes
+    together (one value may have more), and at most ``rows`` rows."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy() + most // rows
+        for start, end in size_runs(sizes.tolist(), most):
+            yield batch.slice(start, end - start)
+
+
 def text_runs(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts with about ``chars`` characters together."""
     return size_runs((len(t or "") for t in texts), chars)

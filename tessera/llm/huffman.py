@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table, work_folder, written
+from tessera.llm.common import PLAIN, bounded, table, work_folder, written
 from tessera.llm.tokens import encoder, tokenizer_path
 
 MAX_BITS = 16
@@ -121,16 +121,16 @@ def pack_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[
     size = lengths[ids].astype(np.int64)
     begin = np.cumsum(size) - size
     total = int(size.sum())
-    value = codes[ids].astype(np.uint64) << (np.uint64(32) - size.astype(np.uint64) - (begin % 16).astype(np.uint64))
-    word = begin // 16
-    out = np.zeros(total // 16 + 2, np.uint64)
-    # Codes never overlap, so adding their parts of 16-bit words joins them.
+    value = codes[ids].astype(np.uint64) << (np.uint64(64) - size.astype(np.uint64) - (begin % 32).astype(np.uint64))
+    word = begin // 32
+    out = np.zeros(total // 32 + 2, np.uint64)
+    # Codes never overlap, so adding their parts of 32-bit words joins them.
     first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else np.zeros(0, np.int64)
     if len(word):
-        high, low = np.add.reduceat(value >> np.uint64(16), first), np.add.reduceat(value & np.uint64(0xFFFF), first)
+        high, low = np.add.reduceat(value >> np.uint64(32), first), np.add.reduceat(value & np.uint64(0xFFFFFFFF), first)
         out[word[first]] += high
         out[word[first] + 1] += low
-    return out.astype(">u2").tobytes()[: (total + 7) // 8], begin
+    return out.astype(">u4").tobytes()[: (total + 7) // 8], begin
 
 
 def block(file: int, first: int, ids: np.ndarray, docs: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -172,13 +172,13 @@ def unpack(parts: list[tuple[int, np.ndarray, bytes]], ids: np.ndarray, sizes: n
     its checkpoints at once: one table look-up a step for every checkpoint."""
     base = np.cumsum([0, *(len(bits) for _, _, bits in parts)])
     raw = np.frombuffer(b"".join(bits for _, _, bits in parts) + bytes(4), np.uint8).astype(np.uint32)
-    window = raw[:-3] << 16 | raw[1:-2] << 8 | raw[2:-1]  # 24 bits from each byte
+    window = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]  # 32 bits from each byte
     pos = np.concatenate([m.astype(np.int64) + 8 * b for (_, m, _), b in zip(parts, base)]) if parts else np.zeros(0, np.int64)
     left = np.concatenate([np.minimum(CHECKPOINT, n - CHECKPOINT * np.arange(len(m))) for n, m, _ in parts]) if parts else pos
     out = np.zeros((CHECKPOINT, len(pos)), np.uint32)
     top, mask = len(window) - 1, (1 << max_bits) - 1
     for step in range(int(left.max(initial=0))):
-        look = window[np.minimum(pos >> 3, top)] >> (8 - (pos & 7)).astype(np.uint32) & mask
+        look = window[np.minimum(pos >> 3, top)] >> (32 - max_bits - (pos & 7)).astype(np.uint32) & mask
         out[step] = ids[look]
         pos += sizes[look]
     flat, done, col = [], np.ascontiguousarray(out.T), 0
@@ -193,8 +193,8 @@ def unpack(parts: list[tuple[int, np.ndarray, bytes]], ids: np.ndarray, sizes: n
 
 def token_rows(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int, size: int) -> DataFrame:
     """(id, n, ids, kind): each row's ids with the end id, as little-endian
-    bytes (kind 0), and for each task one row with the counts of its ids, 8
-    bytes each (kind 1)."""
+    bytes (kind 0), and for each task one row with the ids that it met and
+    their counts, 8 bytes each (kind 1)."""
 
     def run(batches):
         enc = encoder(path)
@@ -204,14 +204,13 @@ def token_rows(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: i
         def out(key, n, ids, kind):
             return pa.RecordBatch.from_arrays([key, pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array([kind] * len(ids), pa.int32())], ["id", "n", "ids", "kind"])
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [raw + end for raw in enc.encode(part.column(1).to_pylist())]
-                counts += np.bincount(np.frombuffer(b"".join(ids), enc.dtype), minlength=size)
-                yield out(part.column(0), [len(x) // width for x in ids], ids, 0)
-        if counts.any():
-            yield out(pa.array([None], pa.int64()), [0], [counts.tobytes()], 1)
+        for batch in bounded(batches, 1):
+            ids = [raw + end for raw in enc.encode(batch.column(1).to_pylist())]
+            counts += np.bincount(np.frombuffer(b"".join(ids), enc.dtype), minlength=size)
+            yield out(batch.column(0), [len(x) // width for x in ids], ids, 0)
+        used = np.flatnonzero(counts)
+        if len(used):
+            yield out(pa.array([None], pa.int64()), [len(used)], [used.tobytes() + counts[used].tobytes()], 1)
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, n long, ids binary, kind int")
 
@@ -223,7 +222,8 @@ def id_counts(tokens: DataFrame, size: int) -> np.ndarray:
         counts = np.zeros(size, np.int64)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                counts += np.frombuffer(raw, np.int64)
+                used, n = np.frombuffer(raw, np.int64).reshape(2, -1)
+                counts[used] += n
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["token", "n"])
 
@@ -247,9 +247,12 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     made, at = token_rows(docs, id_col, text_col, path, end_id, size), f"{work_folder(spark)}/ids"
     made.write.option("compression", "zstd").partitionBy("kind").parquet(at)
     tokens = spark.read.schema(made.schema).parquet(at)
-    lengths = code_lengths(id_counts(tokens, size), max_bits)
+    counts = id_counts(tokens, size)
+    lengths = code_lengths(counts, max(max_bits, (int(np.count_nonzero(counts)) - 1).bit_length()))
+    if lengths.max(initial=0) > 25:
+        raise ValueError("the decoder reads at most 25 bits at a time")
     tokens = tokens.where("kind = 0")
-    spark.createDataFrame([(lengths.tobytes(),)], "value binary").select(F.col("value").cast("string").alias("value")).coalesce(1).write.text(f"{folder}/code")
+    spark.createDataFrame([(lengths.tobytes(),)], "value binary").select(F.col("value").cast("string").alias("value")).coalesce(1).write.options(**PLAIN).text(f"{folder}/code")
 
     total = tokens.agg(F.sum("n")).first()[0] or 0
     files = max(1, -(-int(total) // FILE_IDS))
@@ -283,7 +286,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         if n_held:
             yield out()
 
-    ordered.mapInArrow(run, "block binary").select(F.col("block").cast("string").alias("value")).write.text(f"{folder}/tokens")
+    ordered.mapInArrow(run, "block binary").select(F.col("block").cast("string").alias("value")).write.options(**PLAIN).text(f"{folder}/tokens")
 
 
 def read_code(spark: SparkSession, folder: str) -> np.ndarray:
@@ -291,7 +294,7 @@ def read_code(spark: SparkSession, folder: str) -> np.ndarray:
     return np.frombuffer(bytes(found[0][0])[:-1], np.uint8)
 
 
-def read_tokens(spark: SparkSession, folder: str, id_col: str = "doc_id", max_bits: int = MAX_BITS) -> DataFrame:
+def read_tokens(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
     """Decode the files: the document's id, ``start`` (ids of all documents
     before it), ``n_tokens`` and ``ids`` (little-endian, 4 bytes each)."""
     code = spark.sparkContext.broadcast(read_code(spark, folder))
@@ -304,20 +307,21 @@ def read_tokens(spark: SparkSession, folder: str, id_col: str = "doc_id", max_bi
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in heads], pa.int64()) for k in (0, 1)], ["file", "n"])
 
     def run(batches):
-        table_ids, table_sizes = decode_table(code.value, max_bits)
+        bits = max(1, int(code.value.max(initial=1)))
+        table_ids, table_sizes = decode_table(code.value, bits)
         for batch in batches:
             for content in batch.column(0):
                 rows = []
                 for group in grouped(blocks_of(content.as_buffer().to_pybytes()), 16):
-                    decoded = unpack([(n, marks, bits) for _, _, n, _, marks, bits in group], table_ids, table_sizes, max_bits)
+                    decoded = unpack([(n, marks, raw) for _, _, n, _, marks, raw in group], table_ids, table_sizes, bits)
                     for (file, first, _, docs, _, _), ids in zip(group, decoded):
                         ends = np.cumsum(docs["n"], dtype=np.int64)
                         for doc_id, n, flags, end in zip(docs["id"].tolist(), docs["n"].tolist(), docs["flags"].tolist(), ends.tolist()):
                             raw = ids[end - n : end].astype("<u4").tobytes()
                             if flags & 1:
-                                rows[-1][3] += raw
+                                rows[-1][3].append(raw)
                             else:
-                                rows.append([None if flags & 4 else doc_id, file, first + end - n, raw])
+                                rows.append([None if flags & 4 else doc_id, file, first + end - n, [raw]])
                     cut = rows[:-1]  # the last one may go on in the next block
                     if cut:
                         yield as_batch(cut)
@@ -326,7 +330,8 @@ def read_tokens(spark: SparkSession, folder: str, id_col: str = "doc_id", max_bi
                     yield as_batch(rows)
 
     def as_batch(rows):
-        cols = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([len(r[3]) // 4 for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary())]
+        ids = [b"".join(r[3]) for r in rows]
+        cols = [*(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
         return pa.RecordBatch.from_arrays(cols, ["id", "file", "here", "n_tokens", "ids"])
 
     totals = files.mapInArrow(sizes_of, "file long, n long").groupBy("file").agg(F.sum("n").alias("n"))

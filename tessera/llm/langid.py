@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, released, table, text_runs, written
+from tessera.llm.common import bounded, fold, released, table, text_runs, written
 
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 16
@@ -121,7 +121,7 @@ def fit(labelled: DataFrame, lang_col: str, text_col: str, key_col: str, *, trai
 
     def count(batches):
         counts: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in bounded(batches, 1):
             number, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             for first, n, grams, _ in windows(texts, CHARS, buckets):
                 own = number[first : first + n]
@@ -200,11 +200,9 @@ def identify(docs: DataFrame, model: list[tuple[list[str], Broadcast]], text_col
     names = [*chosen.columns[:-1], language, score]
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                lang, sure = score_texts(part.column(part.num_columns - 1).to_pylist(), model)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(lang, pa.string()), pa.array(sure)], names)
+        for batch in bounded(batches, len(names) - 2):
+            lang, sure = score_texts(batch.column(batch.num_columns - 1).to_pylist(), model)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(sure)], names)
 
     return chosen.mapInArrow(run, schema)
 

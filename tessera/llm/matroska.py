@@ -23,11 +23,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import size_runs, table
+from tessera.llm.common import bounded, table
 
 EBML, VOID, CRC = 0x1A45DFA3, 0xEC, 0xBF
 EBML_VERSION, EBML_READ_VERSION, EBML_MAX_ID, EBML_MAX_SIZE, DOC_TYPE, DOC_VERSION, DOC_READ_VERSION = 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
@@ -43,8 +42,6 @@ FRAME = 512
 LACE = 8
 BLOCKS = 32
 PAD = 64
-#: Bytes of texts or files that are taken together, about.
-BATCH_BYTES = 4 << 20
 
 
 # ------------------------------------------------------------------ reading
@@ -324,17 +321,14 @@ def _mapped(df: DataFrame, col: str, keep: tuple[str, ...], fields: list[tuple[s
     names = [*chosen.columns[:-1], *(n for n, _, _ in fields)]
 
     def run(batches):
-        for batch in batches:
-            sizes = pc.binary_length(batch.column(batch.num_columns - 1)).fill_null(0).to_numpy()
-            for at, to in size_runs((sizes + 4096).tolist(), BATCH_BYTES):
-                part = batch.slice(at, to - at)
-                rows, made = [], []
-                for r, value in enumerate(part.column(part.num_columns - 1).to_pylist()):
-                    for row in make(value):
-                        rows.append(r)
-                        made.append(row)
-                cols = [pa.array([m[k] for m in made], t) for k, (_, _, t) in enumerate(fields)]
-                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(rows, pa.int64())) for c in part.columns[:-1]), *cols], names)
+        for batch in bounded(batches, len(names) - len(fields), rows=256):
+            rows, made = [], []
+            for r, value in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                for row in make(value):
+                    rows.append(r)
+                    made.append(row)
+            cols = [pa.array([m[k] for m in made], t) for k, (_, _, t) in enumerate(fields)]
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(rows, pa.int64())) for c in batch.columns[:-1]), *cols], names)
 
     return chosen.mapInArrow(run, schema)
 

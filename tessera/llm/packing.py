@@ -28,18 +28,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import size_runs, table
+from tessera.llm.common import bounded, table
 from tessera.llm.tokens import encoder, tokenizer_path
 
 CAPACITY = 4096
 #: UTF-8 bytes of text for each shard; a text has no more tokens than bytes.
 SHARD_BYTES = 2 << 20
-#: Bytes of text that are tokenized and sent on together, about.
-BATCH_BYTES = 2 << 20
 #: Attention over n tokens against the linear layers: n / (6 * model width).
 QUADRATIC = 1 / (6 * 4096)
 #: Bits of an ordered sequence id for the row of a file at which its shard
@@ -93,33 +90,31 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, end_id:
         step, end = capacity * enc.dtype.itemsize, np.array([end_id], enc.dtype).tobytes()
         head = file = None  # first sequence id of the run, and its file
         held = sub = 0  # tokens of the run, runs that begin at the same row
-        for batch in batches:
+        for batch in bounded(batches, 1, rows=1024):
             places = [batch.column(k).to_pylist() for k in (2, 3)] if order else None
-            for at, to in size_runs(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(), BATCH_BYTES):
-                part = batch.slice(at, to - at)
-                rows, start, ids, tokens, spread = [], [], [], [], []
-                for r, raw in enumerate(enc.encode(part.column(1).to_pylist())):
-                    raw += end
-                    for cut in range(0, len(raw), step):
-                        rows.append(r)
-                        start.append(cut // enc.dtype.itemsize)
-                        ids.append(raw[cut : cut + step])
-                        tokens.append(len(raw) // enc.dtype.itemsize)
-                        if order:
-                            now = places[0][at + r], places[1][at + r]
-                            if now[0] != file or held >= run_tokens:
-                                first = _first_id(*now)
-                                sub = sub + 1 if head is not None and head >> LOCAL_BITS == first >> LOCAL_BITS else 0
-                                head, file, held = first + sub * _locals(run_tokens, capacity), now[0], 0
-                                if head >> LOCAL_BITS != first >> LOCAL_BITS:
-                                    raise ValueError(f"row {now[1]} of file {now[0]} is too long for an ordered sequence id")
-                            held += len(ids[-1]) // enc.dtype.itemsize
-                            spread.append(head)
-                        else:  # the row's number parts repeated rows with equal ids
-                            spread.append(zlib.crc32(b"%d %d" % (start[-1], seen), zlib.crc32(ids[-1])))
-                    seen += 1
-                cols = [pa.array(c, f.type) for c, f in zip((start, ids, tokens, spread), arrow)]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), *cols], ["id", *arrow.names])
+            rows, start, ids, tokens, spread = [], [], [], [], []
+            for r, raw in enumerate(enc.encode(batch.column(1).to_pylist())):
+                raw += end
+                for cut in range(0, len(raw), step):
+                    rows.append(r)
+                    start.append(cut // enc.dtype.itemsize)
+                    ids.append(raw[cut : cut + step])
+                    tokens.append(len(raw) // enc.dtype.itemsize)
+                    if order:
+                        now = places[0][r], places[1][r]
+                        if now[0] != file or held >= run_tokens:
+                            first = _first_id(*now)
+                            sub = sub + 1 if head is not None and head >> LOCAL_BITS == first >> LOCAL_BITS else 0
+                            head, file, held = first + sub * _locals(run_tokens, capacity), now[0], 0
+                            if head >> LOCAL_BITS != first >> LOCAL_BITS:
+                                raise ValueError(f"row {now[1]} of file {now[0]} is too long for an ordered sequence id")
+                        held += len(ids[-1]) // enc.dtype.itemsize
+                        spread.append(head)
+                    else:  # the row's number parts repeated rows with equal ids
+                        spread.append(zlib.crc32(b"%d %d" % (start[-1], seen), zlib.crc32(ids[-1])))
+                seen += 1
+            cols = [pa.array(c, f.type) for c, f in zip((start, ids, tokens, spread), arrow)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *cols], ["id", *arrow.names])
 
     schema = f"id {kind}, start long, ids binary, doc_tokens long, spread long"
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).cast("long") for c in order or ()))

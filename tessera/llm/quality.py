@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, size_runs, table, text_runs
+from tessera.llm.common import bounded, fold, size_runs, table, text_runs
 
 #: Labelled documents of each label that training reads, about, at most.
 TRAIN_DOCS = 1500
@@ -223,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = texts.groupBy("_y", "_id").agg(F.min_by("_t", F.struct(F.xxhash64("_t"), "_t")).alias("_t")).select("_y", "_t", F.col("_id").cast("string").alias("_id"))
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches, 1):
             rows = []
             for y, text, key in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 x = line_features([text])[0]
@@ -260,7 +260,7 @@ def classify(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: st
     names = [*chosen.columns[:-1], score, *([lines] if lines else [])]
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches, len(keep)):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             for a, b in text_runs(texts, CHARS):
                 value, marginals = score_texts(texts[a:b], shared.value)

@@ -21,11 +21,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table, written
+from tessera.llm.common import bounded, shingle_hashes, table, written
 from tessera.llm.components import components
 
 #: Fingerprints link at this many differing bits or fewer.
@@ -54,18 +53,12 @@ def reference_fingerprints(n: int = PIVOTS) -> np.ndarray:
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """SimHash of a text's word shingles, repeats included; no word: 0."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-    ends = np.cumsum([len(w) + 1 for w in words])
-    n = max(1, len(words) - shingle + 1)
-    last = (ends[-n:] - 1).tolist()
-    first = [0, *ends[: n - 1].tolist()]
-    ones = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 16):
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(first[at : at + (1 << 16)], last[at : at + (1 << 16)])], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    ones, n = np.zeros(64, np.int64), 0
+    for part in shingle_hashes(text, shingle, SEED):
+        for at in range(0, len(part), 1 << 16):
+            hashes = np.array(part[at : at + (1 << 16)], "<u8")
+            ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(part)
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
@@ -73,22 +66,33 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fp long) of every row."""
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                fps = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+        for part in bounded(batches, 1):
+            fps = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp long")
 
 
-def _masks() -> list[int]:
+def _blocks() -> list[int]:
     at, blocks = 0, []
     for width in BLOCKS:
         blocks.append(((1 << width) - 1) << at)
         at += width
-    return [a | b for a, b in combinations(blocks, 2)]
+    return blocks
+
+
+def _masks() -> list[int]:
+    return [a | b for a, b in combinations(_blocks(), 2)]
+
+
+def _finer(mask: int) -> list[int]:
+    """Masks of the blocks outside ``mask``, each without one of its bits.
+
+    Two fingerprints that agree on ``mask`` and differ in at most three bits
+    differ in at most one bit of one of the three other blocks, so they agree
+    on that block without this bit."""
+    return [block ^ 1 << bit for block in _blocks() if not block & mask for bit in range(64) if block >> bit & 1]
 
 
 def _signed(x: int) -> int:
@@ -96,15 +100,27 @@ def _signed(x: int) -> int:
 
 
 def cells(fps: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(cell, fp): the cells in which each distinct fingerprint is compared."""
-    keys = F.array(*(F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for k, m in enumerate(_masks())))
-    dealt = fps.select("fp", F.explode(keys).alias("key"))
-    large = dealt.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > shard)
+    """(cell, fp): the cells in which each distinct fingerprint is compared.
+
+    A shard with too many fingerprints is dealt again, by what they have in
+    common in a third block but for one bit; only those of them that are still
+    too large, fingerprints alike in 38 bits, are cut into chunks, each pair of
+    which is a cell."""
+    keys = F.array(*(F.struct(F.lit(k).alias("pair"), F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(_signed(m)))).alias("key")) for k, m in enumerate(_masks())))
+    dealt = fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.pair", "k.key")
+    large = dealt.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > shard).select(F.col("key").alias("hot"))
+    marked = dealt.join(large, dealt.key == large.hot, "left")
+    finer = F.element_at(F.array(*(F.array(*(F.lit(_signed(x)) for x in _finer(m))) for m in _masks())), F.col("pair") + 1)
+    again = marked.where("hot is not null").select("fp", "key", F.posexplode(finer).alias("k", "mask"))
+    again = again.select("fp", F.xxhash64("key", "k", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
+    sizes = again.groupBy("key").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > shard)
     parts = F.ceil(F.coalesce("n", F.lit(1)) / F.lit(shard / 2)).cast("int")
-    cut = dealt.join(large, "key", "left").withColumn("parts", F.when(F.col("n").isNull(), 1).otherwise(parts))
+    cut = again.join(sizes.where("n > 1").select("key"), "key", "left_semi").join(large, "key", "left").withColumn("parts", F.when(F.col("n").isNull(), 1).otherwise(parts))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("fp", F.lit("chunk")), F.col("parts")).cast("int"))
     cut = cut.select("fp", "key", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    return cut.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "fp")
+    cut = cut.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "fp")
+    return marked.where("hot is null").select(F.col("key").alias("cell"), "fp").unionByName(cut)
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:

@@ -56,6 +56,16 @@ def test_decoding_starts_at_any_checkpoint():
     assert tail.tolist() == ids[5 * huffman.CHECKPOINT :].tolist()
 
 
+def test_more_ids_than_short_codes():
+    n = 1 << 17
+    ids = np.random.default_rng(1).permutation(n + 5)
+    lengths = huffman.code_lengths(np.ones(n + 5), 18)
+    assert lengths.max() == 18
+    bits, begin = huffman.pack_bits(ids, huffman.canonical(lengths), lengths)
+    out, = huffman.unpack([(len(ids), begin[:: huffman.CHECKPOINT].astype("<u4"), bits)], *huffman.decode_table(lengths, 18), 18)
+    assert (out == ids).all()
+
+
 def test_damaged_block_is_noticed():
     made = bytearray(huffman.block(0, 0, np.array([1, 2, 1]), np.array([(1, 3, 0)], huffman.DOCS), huffman.canonical(np.array([0, 1, 1])), np.array([0, 1, 1])))
     made[-1] ^= 1
