@@ -8,20 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import CITATION, NUMBER, SENTENCE_END, SPECULATION, lines, tokens
+from tessera.operators.lexical import Index, opened
 
 #: Fixed text: what is said when the corpus has no answer.
 REFUSAL = "Not supported by the indexed corpus."
 
 
-def evidence(hits: DataFrame, questions: DataFrame, docs: DataFrame, most: int = 3, qid: str = "item_id") -> DataFrame:
+def evidence(hits: DataFrame, questions: DataFrame, corpus: DataFrame | Index, most: int = 3, qid: str = "item_id") -> DataFrame:
     """(qid, rk, doc_id, file, line, text): of each of the best documents, the
     line with most of the question's words (ties: the first)."""
     best = hits.where(F.col("rk") <= most).select("qid", "rk", "doc_id")
     q = questions.select(F.col(qid).alias("qid"), F.array_distinct(tokens(F.col("text"))).alias("asked"))
-    d = docs.select("doc_id", F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("file"), lines(F.col("text")).alias("all"))
-    both = best.join(q, "qid").join(d, "doc_id")
+    # Only the few texts that were hit are cut into lines.
+    both = opened(corpus).texts.join(best, "doc_id").join(q, "qid").withColumn("all", lines(F.col("text")))
     # Inside the row: no shuffle of lines.
-    rated = F.transform("all", lambda t, i: F.struct((-F.size(F.array_intersect("asked", F.array_distinct(tokens(t))))).alias("lack"), (i + 1).alias("line"), t.alias("text")))
+    rated = F.transform("all", lambda t, i: F.struct((-F.size(F.array_intersect("asked", F.array_distinct(tokens(t))))).alias("lack"), (i + F.col("line_start")).alias("line"), t.alias("text")))
     top = F.array_min(rated)
     return both.withColumn("top", top).select("qid", "rk", "doc_id", "file", F.col("top.line").alias("line"), F.col("top.text").alias("text"))
 
@@ -93,12 +94,17 @@ def audit(answers: DataFrame, found: DataFrame) -> DataFrame:
     return s.withColumn("struck", F.col("uncited") | F.col("bad_citation") | F.col("speculation") | F.col("bad_number"))
 
 
-def semantic_audit(rows: DataFrame, judge: Callable | None, least: float, schema: str) -> DataFrame:
-    """Also strike what a judge (claim and cited text to a score, over pandas
-    frames) finds unsupported. Without a judge nothing changes."""
-    if judge is None:
-        return rows
-    return rows.mapInPandas(judge, schema).withColumn("struck", F.col("struck") | (F.col("support") < least))
+def semantic_audit(audited: DataFrame, found: DataFrame, judge: Callable, least: float) -> DataFrame:
+    """Also strike sentences that a judge finds unsupported: a function over
+    pandas frames of (qid, pos, sentence, evidence), evidence the cited lines'
+    text, that gives (qid, pos, support). Struck sentences are not judged."""
+    cites = F.zip_with(F.regexp_extract_all("sentence", F.lit(CITATION), 1), F.regexp_extract_all("sentence", F.lit(CITATION), 2), lambda f, l: F.struct(f.alias("file"), l.cast("int").alias("line")))
+    claims = audited.where(~F.col("struck")).select("qid", "pos", "sentence", F.explode(F.array_distinct(cites)).alias("c"))
+    cited = claims.join(found.select("qid", "file", "line", "text").distinct(), (claims.qid == found.qid) & (F.col("c.file") == F.col("file")) & (F.col("c.line") == F.col("line"))).select(claims.qid, "pos", "sentence", "c", "text")
+    pairs = cited.groupBy("qid", "pos", "sentence").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c", "text"))), lambda x: x["text"]), "\n").alias("evidence"))
+    kinds = {c: audited.schema[c].dataType.simpleString() for c in ("qid", "pos")}
+    judged = pairs.mapInPandas(judge, f"qid {kinds['qid']}, pos {kinds['pos']}, support double")
+    return audited.join(judged, ["qid", "pos"], "left").withColumn("struck", F.col("struck") | (F.coalesce("support", F.lit(1.0)) < least))
 
 
 def closed(audited: DataFrame) -> DataFrame:

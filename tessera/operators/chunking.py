@@ -33,18 +33,33 @@ def section_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def packed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = CHUNK_CHARS) -> DataFrame:
     """Neighbouring whole lines put together up to about ``limit`` characters:
-    a line belongs to the chunk in which it begins."""
-    w = Window.partitionBy(id_col).orderBy("line")
-    found = line_provenance(docs, id_col, text_col)
-    found = found.withColumn("chunk", F.floor((F.sum(F.length("text") + 1).over(w) - F.length("text") - 1) / limit))
-    return found.groupBy(id_col, "chunk").agg(F.min("line").alias("line_start"), F.max("line").alias("line_end"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n").alias("text"))
+    a line belongs to the chunk in which it begins. Rows with equal or null ids
+    stay apart, by their text, and rows that repeat both by a number."""
+    found = docs.select(id_col, F.xxhash64(text_col).alias("_of"), F.posexplode(lines(F.col(text_col))).alias("line", "text"))
+    # Everything below groups by these two and more: one shuffle.
+    found = found.repartition(id_col, "_of").withColumn("_copy", F.row_number().over(Window.partitionBy(id_col, "_of", "line").orderBy("text")))
+    upto = Window.partitionBy(id_col, "_of", "_copy").orderBy("line")
+    found = found.withColumn("chunk", F.floor((F.sum(F.length("text") + 1).over(upto) - F.length("text") - 1) / limit))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n")
+    made = found.groupBy(id_col, "_of", "_copy", "chunk").agg((F.min("line") + 1).alias("line_start"), (F.max("line") + 1).alias("line_end"), joined.alias("text"))
+    return made.drop("_of", "_copy")
 
 
 def code_chunks(files: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Chunks of source files along the spans of their symbols, never fixed
-    windows. symbols: path, name, line_start, line_end."""
-    text = F.array_join(F.slice(lines(F.col("content")), F.col("line_start"), F.col("line_end") - F.col("line_start") + 1), "\n")
-    return files.join(symbols, "path").select("path", "name", "line_start", "line_end", text.alias("text"))
+    """(path, name, line_start, line_end, text): chunks of source files along
+    the spans of their symbols, never fixed windows; what lies between them, or
+    a whole file without symbols, is a chunk without a name unless it is blank.
+    symbols: path, name, line_start, line_end."""
+    spans = symbols.groupBy("path").agg(F.sort_array(F.collect_set(F.struct("line_start", "line_end", "name"))).alias("spans"))
+    d = files.select("path", lines(F.col("content")).alias("all")).join(spans, "path", "left")
+    d = d.withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<line_start:int,line_end:int,name:string>>")))
+    # Where the lines that no symbol covers begin, and the line before the next one begins.
+    starts = F.concat(F.array(F.lit(1)), F.transform("spans", lambda s: s["line_end"] + 1))
+    gaps = F.transform(starts, lambda a: F.struct(a.alias("line_start"), F.coalesce(F.array_min(F.transform(F.filter("spans", lambda s: s["line_end"] >= a), lambda s: s["line_start"])) - 1, F.size("all")).alias("line_end"), F.lit(None).cast("string").alias("name")))
+    gaps = F.filter(F.array_distinct(gaps), lambda g: g["line_end"] >= g["line_start"])
+    d = d.select("path", "all", F.inline(F.concat("spans", gaps)))
+    text = F.array_join(F.slice("all", F.col("line_start"), F.col("line_end") - F.col("line_start") + 1), "\n")
+    return d.select("path", "name", "line_start", "line_end", text.alias("text")).where(F.col("name").isNotNull() | (F.trim("text") != ""))
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -16,10 +16,19 @@ _CALL = re.compile(r"\b([A-Za-z_]\w*(?:(?:::|\.|->)[A-Za-z_]\w*)*)\s*\(")
 _NOT_CALLS = {"if", "for", "while", "switch", "return", "sizeof", "catch", "defined"}
 
 
+_HIDDEN = re.compile(r'//[^\n]*|/\*.*?\*/|"(?:\\.|[^"\\\n])*"|\'(?:\\.|[^\'\\\n])*\'', re.S)
+
+
+def _bare(content: str) -> str:
+    """The content with comments and strings blanked out, line for line."""
+    return _HIDDEN.sub(lambda m: re.sub(r"[^\n]", " ", m[0]), content)
+
+
 def _definitions(content: str) -> list[tuple[str, str, int, int]]:
     """(name, kind, first line, last line) of classes and function bodies, by
-    matching braces; a stand-in for a syntax tree where no parser is there."""
-    out = []
+    matching braces outside comments and strings; a stand-in for a syntax tree
+    where no parser is there."""
+    out, content = [], _bare(content)
     for m in _DEFINITION.finditer(content):
         name, kind = (m[1], "class") if m[1] else (m[2], "function")
         if name in _NOT_CALLS:
@@ -57,9 +66,11 @@ def extract_calls(files: DataFrame, symbols: DataFrame) -> DataFrame:
             rows = []
             for path, content in zip(f["path"], f["content"]):
                 spans = [d for d in _definitions(content or "") if d[1] == "function"]
-                for k, line in enumerate((content or "").split("\n"), 1):
-                    for src, _, a, b in spans:
-                        if a < k <= b or a == k and "{" in line:
+                lines = _bare(content or "").split("\n")
+                for src, _, a, b in spans:  # only the lines of each body
+                    for k in range(a, b + 1):
+                        line = lines[k - 1]
+                        if k > a or "{" in line:
                             rows += [(src, c, path, k) for c in _CALL.findall(line.split("{", 1)[-1] if a == k else line) if c not in _NOT_CALLS]
             yield pd.DataFrame(rows, columns=["src", "called", "file", "line"])
 
@@ -114,10 +125,62 @@ def lookup(requests: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     return requests.select(key).distinct().join(facts, key)
 
 
+#: A name of code or of a parameter: words joined by colons, dots or arrows.
+NAME = r"[A-Za-z_~]\w*(?:(?:::|\.|->)[A-Za-z_~]\w*)*"
+
+
 def mentions(questions: DataFrame, names: DataFrame, id_col: str = "item_id", text_col: str = "text", name: str = "name") -> DataFrame:
-    """Fact names that stand as words in questions: an equi-join on words."""
-    words = questions.select(id_col, F.explode(F.array_distinct(tokens(F.col(text_col)))).alias(name))
-    return words.join(names, name)
+    """Fact names that stand in questions as words or as qualified names
+    (``Type::member``), in upper or lower case: an equi-join on what is folded.
+    The name is returned as the facts have it."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    said = F.array_distinct(F.concat(tokens(text), F.transform(F.regexp_extract_all(text, F.lit(NAME), 0), lambda w: F.lower(w))))
+    words = questions.select(id_col, F.explode(said).alias("_said"))
+    return words.join(names, F.col("_said") == F.lower(names[name])).drop("_said")
+
+
+#: Which kind of fact a question's wording asks for, and when no word tells,
+#: the order of preference.
+ASKED = (("caller", r"(?i)\bcall(s|er|ers|ed|ing)?\b"), ("message", r"(?i)\b(message|msg|id)\b"), ("symbol", r"(?i)\b(file|defin\w*|declared?|implement\w*|where)\b"), ("parameter", r"(?i)\b(param\w*|defaults?|range|units?|values?)\b"))
+
+
+def named_facts(params: DataFrame | None = None, symbols: DataFrame | None = None, messages: DataFrame | None = None, calls: DataFrame | None = None) -> DataFrame:
+    """(name, kind, answer, file, line): what can be answered without a search.
+
+    params: full_name or leaf, dflt, lo, hi, units, path; symbols: name, kind,
+    path, line_start; messages: protocol, msg_id, name; calls: src, dst, file,
+    line. A caller fact lists all callers of a name in order.
+    """
+    parts = []
+    if params is not None:
+        own = F.col("full_name") if "full_name" in params.columns else F.col("leaf")
+        said = [F.concat(own, F.lit(":")), *(F.concat(F.lit(f" {label} "), F.col(c).cast("string"), F.lit(";")) for label, c in (("default", "dflt"), ("from", "lo"), ("to", "hi"), ("units", "units")))]
+        parts.append(params.select(own.alias("name"), F.lit("parameter").alias("kind"), F.rtrim(F.concat_ws("", *said), F.lit(";")).alias("answer"), F.col("path").alias("file"), F.lit(1).alias("line")))
+    if symbols is not None:
+        parts.append(symbols.select("name", F.lit("symbol").alias("kind"), F.concat("name", F.lit(" is a "), F.col("kind"), F.lit(" in "), "path", F.lit(":"), F.col("line_start").cast("string")).alias("answer"), F.col("path").alias("file"), F.col("line_start").alias("line")))
+    if messages is not None:
+        parts.append(messages.select("name", F.lit("message").alias("kind"), F.concat("name", F.lit(" has id "), F.col("msg_id").cast("string"), F.lit(" in "), "protocol").alias("answer"), F.lit(None).cast("string").alias("file"), F.lit(None).cast("int").alias("line")))
+    if calls is not None:
+        own = calls.groupBy(F.col("dst").alias("name")).agg(F.sort_array(F.collect_set("src")).alias("callers"), F.min(F.struct("file", "line")).alias("at"))
+        parts.append(own.select("name", F.lit("caller").alias("kind"), F.concat("name", F.lit(" is called by "), F.array_join("callers", ", ")).alias("answer"), F.col("at.file").alias("file"), F.col("at.line").cast("int").alias("line")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.where("answer is not null")
+
+
+def direct_answers(questions: DataFrame, facts: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(id, name, answer, file, line): one fact for each question that names
+    one. The kind that the wording asks for comes first, then the longest name,
+    then the order of kinds, then the name and the answer."""
+    kind = F.col("kind") if "kind" in facts.columns else F.lit(None).cast("string")
+    hits = mentions(questions.select(id_col, text_col), facts.withColumn("kind", kind), id_col, text_col).join(questions.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).distinct(), F.col(id_col) == F.col("_id"))
+    asks, place = F.lit(False), F.lit(len(ASKED))
+    for k, (name, pattern) in enumerate(ASKED):
+        asks = asks | (F.coalesce(F.col("kind") == name, F.lit(False)) & F.regexp_like("_text", F.lit(pattern)))
+        place = F.when(F.col("kind") == name, len(ASKED) - k).otherwise(place)
+    best = F.min(F.struct((~asks).alias("a"), (-F.length("name")).alias("b"), place.alias("c"), "name", "answer", "file", "line"))
+    return hits.groupBy(id_col).agg(best.alias("f")).select(id_col, "f.name", "f.answer", "f.file", "f.line")
 
 
 def split_direct(questions: DataFrame, mentioned: DataFrame, id_col: str = "item_id") -> tuple[DataFrame, DataFrame]:

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokens
-from tessera.operators.retrieval import document_terms
+from tessera.operators.lexical import Index, opened
 
 
-def term_statistics(docs: DataFrame) -> DataFrame:
+def term_statistics(corpus: DataFrame | Index) -> DataFrame:
     """(term, df, cf)."""
-    return document_terms(docs).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    return opened(corpus).postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
 def lengths(docs: DataFrame) -> DataFrame:
@@ -23,15 +23,14 @@ def lengths(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.size(words).cast("long").alias("dl"), F.size(F.array_distinct(words)).cast("long").alias("distinct_terms"))
 
 
-def domain_statistics(docs: DataFrame, domain: str = "source") -> DataFrame:
+def domain_statistics(corpus: DataFrame | Index) -> DataFrame:
     """(domain, docs, words, postings, terms) of each domain's lexical index.
     Distinct terms are counted in two steps, so a hot domain is spread by
     term."""
-    words = docs.select(F.col(domain).alias("domain"), tokens(F.col("text")).alias("all"))
-    size = words.groupBy("domain").agg(F.count("*").alias("docs"), F.sum(F.size("all")).alias("words"))
-    per = words.select("domain", F.explode(F.array_distinct("all")).alias("term")).groupBy("domain", "term").agg(F.count("*").alias("n"))
+    index = opened(corpus)
+    per = index.postings.groupBy("domain", "term").agg(F.count("*").alias("n"))
     terms = per.groupBy("domain").agg(F.sum("n").alias("postings"), F.count("*").alias("terms"))
-    return size.join(terms, "domain", "left")
+    return index.sizes.join(terms, "domain", "left")
 
 
 def hashed_vectors(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text", dims: int = 1024) -> DataFrame:
@@ -53,9 +52,12 @@ def hashed_vectors(chunks: DataFrame, id_col: str = "chunk_id", text_col: str =
     return chunks.select(id_col, text_col).mapInPandas(run, f"{id_col} {chunks.schema[id_col].dataType.simpleString()}, embedding array<float>")
 
 
-def embed(chunks: DataFrame, model: Callable | None = None, schema: str | None = None, **options) -> DataFrame:
-    """Vectors by a model over pandas frames, loaded once in each worker."""
-    return chunks.mapInPandas(model, schema) if model else hashed_vectors(chunks, **options)
+def embed(chunks: DataFrame, model: Callable | None = None, id_col: str = "chunk_id", text_col: str = "text", **options) -> DataFrame:
+    """(id, embedding) by a model over pandas frames of (id, text), loaded once
+    in each worker; without one, ``hashed_vectors``."""
+    if model is None:
+        return hashed_vectors(chunks, id_col, text_col, **options)
+    return chunks.select(id_col, text_col).mapInPandas(model, f"`{id_col}` {chunks.schema[id_col].dataType.simpleString()}, embedding array<float>")
 
 
 def pending(chunks: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -8,14 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import tokens
+from tessera.operators.lexical import Index, idf, met, opened, totals
 
 K1, B = 1.5, 0.75
 #: Query vectors in one broadcast, about.
 QUERY_BLOCK = 2048
+#: Share of the cells that an approximate search looks into.
+PROBES = 0.5
 
 
 def ranked(df: DataFrame, by: str, score: str, tie: str, k: int | None, rank: str = "rk") -> DataFrame:
@@ -23,93 +27,105 @@ def ranked(df: DataFrame, by: str, score: str, tie: str, k: int | None, rank: st
     return out.where(F.col(rank) <= k) if k else out
 
 
-def question_terms(questions: DataFrame, qid: str = "item_id", text: str = "text") -> DataFrame:
-    """(qid, term) of the distinct words of each question."""
-    return questions.select(F.col(qid).alias("qid"), F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
+def bm25_scores(questions: DataFrame, corpus: DataFrame | Index, routes: DataFrame | None = None, *, k1: float = K1, b: float = B, qid: str = "item_id") -> DataFrame:
+    """(qid, doc_id, score, coverage) of all documents that share a word with a
+    question; coverage: the share of its distinct words that the document has.
 
-
-def document_terms(docs: DataFrame, id_col: str = "doc_id", text: str = "text", only: DataFrame | None = None) -> DataFrame:
-    """(doc_id, dl, term, tf), partitioned by document.
-
-    With ``only`` (term), other words are left out before the one shuffle.
-    Since its key is the document alone, whatever is grouped by document and
-    something else afterwards needs no further shuffle. (The outer explode
-    keeps the planner from splitting texts twice, to filter out empty ones.)
-    """
-    words = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text)).alias("all")).select("doc_id", F.size("all").cast("long").alias("dl"), F.explode_outer("all").alias("term"))
-    words = words.join(only, "term", "left_semi") if only is not None else words.where("term is not null")
-    return words.repartition("doc_id").groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
-
-
-def corpus_size(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row: (n_docs, avgdl)."""
-    return docs.agg(F.count("*").alias("n_docs"), F.avg(F.size(tokens(F.col(text)))).alias("avgdl"))
-
-
-def idf(df: Column, n: Column) -> Column:
-    return F.ln(1 + (n - df + 0.5) / (df + 0.5))
-
-
-def bm25_scores(questions: DataFrame, docs: DataFrame, candidates: DataFrame | None = None, *, k1: float = K1, b: float = B, qid: str = "item_id") -> DataFrame:
-    """(qid, doc_id, score) of all documents that share a word with a question.
-
-    Only the questions' words leave the scan: each document's words are met
-    with them before anything is shuffled. candidates (qid, doc_id) restrict
-    what is scored, not the statistics, so scores stay comparable.
+    routes (qid, domain) restrict what is scored, not the statistics, so scores
+    stay comparable: a posting carries its domain, and no list of candidate
+    documents is made.
     """
-    terms = question_terms(questions, qid)
-    asked = terms.select("term").distinct()
-    postings = document_terms(docs, only=asked)
-    df = postings.groupBy("term").agg(F.count("*").alias("df"))
-    size = corpus_size(docs)
-    hit = postings.join(terms.join(df, "term"), "term")
-    if candidates is not None:
-        hit = hit.join(candidates, ["qid", "doc_id"], "left_semi")
-    hit = hit.crossJoin(F.broadcast(size))  # one row
+    index = opened(corpus)
+    hit = met(questions, index, qid)
+    if routes is not None:
+        hit = hit.join(routes.select("qid", "domain"), ["qid", "domain"], "left_semi")
+    hit = hit.crossJoin(F.broadcast(totals(index)))  # one row
     norm = k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
     part = idf(F.col("df"), F.col("n_docs")) * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
-    return hit.groupBy("qid", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
+    share = F.round(F.count("*") / F.first("asked"), 6)
+    return hit.groupBy("qid", "doc_id").agg(F.round(F.sum(part), 6).alias("score"), share.alias("coverage"))
 
 
-def bm25_topk(questions: DataFrame, docs: DataFrame, k: int = 10, candidates: DataFrame | None = None, **options) -> DataFrame:
-    return ranked(bm25_scores(questions, docs, candidates, **options), "qid", "score", "doc_id", k)
+def bm25_topk(questions: DataFrame, corpus: DataFrame | Index, k: int = 10, routes: DataFrame | None = None, **options) -> DataFrame:
+    """(qid, doc_id, score, coverage, rk)."""
+    return ranked(bm25_scores(questions, corpus, routes, **options), "qid", "score", "doc_id", k)
 
 
-def route(questions: DataFrame, docs: DataFrame, domains: int = 3, domain: str = "source", qid: str = "item_id") -> DataFrame:
+def route(questions: DataFrame, corpus: DataFrame | Index, domains: int = 3, qid: str = "item_id") -> DataFrame:
     """(qid, domain, score, rk): the domains whose words carry most of the
     question's idf. A domain has as many idf as question words it knows, each
     weighted by the share of its documents that have the word."""
-    terms = question_terms(questions, qid)
-    words = docs.select("doc_id", F.col(domain).alias("domain"), F.explode_outer(F.array_distinct(tokens(F.col("text")))).alias("term")).join(terms.select("term").distinct(), "term", "left_semi")
-    per = words.groupBy("domain", "term").agg(F.count("*").alias("n"))
-    df = per.groupBy("term").agg(F.sum("n").alias("df"))
-    size = docs.groupBy(F.col(domain).alias("domain")).agg(F.count("*").alias("domain_docs"))
-    total = docs.agg(F.count("*").alias("n_docs"))
-    hit = per.join(terms.join(df, "term"), "term").join(size, "domain").crossJoin(F.broadcast(total))
-    score = F.round(F.sum(idf(F.col("df"), F.col("n_docs")) * F.col("n") / F.col("domain_docs")), 6)
+    index = opened(corpus)
+    per = met(questions, index, qid).groupBy("qid", "domain", "term").agg(F.count("*").alias("n"), F.first("df").alias("df"))
+    hit = per.join(index.sizes.select("domain", "docs"), "domain").crossJoin(F.broadcast(totals(index)))
+    score = F.round(F.sum(idf(F.col("df"), F.col("n_docs")) * F.col("n") / F.col("docs")), 6)
     return ranked(hit.groupBy("qid", "domain").agg(score.alias("score")), "qid", "score", "domain", domains)
 
 
-def routed_candidates(routes: DataFrame, docs: DataFrame, domain: str = "source") -> DataFrame:
-    """(qid, doc_id) of the routed domains."""
-    return routes.select("qid", "domain").join(docs.select("doc_id", F.col(domain).alias("domain")), "domain").select("qid", "doc_id")
-
+def _nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str) -> DataFrame:
+    """(qid, id, score): each task's k best for each query of one block.
 
-def dense_topk(queries: DataFrame, vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(qid, vec_id, score, rk) by exact dot products, in double precision. The
-    stated queries meet all vectors in blocks of about ``QUERY_BLOCK``, each
-    small enough to broadcast; ranks are cut to k before the shuffle."""
-    q = queries.select(F.col(id_col).alias("qid"), F.col(vector).alias("q"))
-    v = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector).alias("v"))
-    dot = F.aggregate(F.zip_with("q", "v", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    queries (qid, q, groups: null, or the groups that the query may see);
+    vectors (id, v, group). Rows are taken group by group, so only allowed
+    pairs are multiplied: one matrix product for each group of a batch.
+    """
+    rows = queries.collect()
+    ids, matrix = [r["qid"] for r in rows], np.array([r["q"] for r in rows], np.float64)
+    sees: dict = {}
+    for i, r in enumerate(rows):
+        for g in r["groups"] if r["groups"] is not None else [None]:
+            sees.setdefault(g, []).append(i)
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix, sees))
+    kinds = [queries.schema["qid"].dataType.simpleString(), vectors.schema["id"].dataType.simpleString()]
+
+    def run(batches):
+        ids, matrix, sees = shared.value
+        best: list[list] = [[] for _ in ids]
+        for batch in batches:
+            names, flat = batch.column(0).to_pylist(), batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
+            group = np.array(batch.column(2).to_pylist() + [None], object)[:-1]
+            for g in set(group.tolist()):
+                own, at = sees.get(g, []), np.flatnonzero(group == g)
+                for lo in range(0, len(own), 256):
+                    some = own[lo : lo + 256]
+                    score = np.round(matrix[some] @ flat[at].T.astype(np.float64), 6)
+                    cut = np.partition(score, max(0, len(at) - k), axis=1)[:, max(0, len(at) - k)]
+                    for i, row, least in zip(some, score, cut):
+                        if len(best[i]) == k:
+                            least = max(least, -best[i][-1][0])
+                        new = np.flatnonzero(row >= least)
+                        best[i] = sorted(best[i] + [(-float(row[j]), names[at[j]]) for j in new])[:k]
+        out = [(i, name, -score) for i, found in enumerate(best) for score, name in found]
+        cols = [pa.array([ids[r[0]] for r in out]), pa.array([r[1] for r in out]), pa.array([r[2] for r in out], pa.float64())]
+        if out:
+            yield pa.RecordBatch.from_arrays(cols, ["qid", id_col, "score"])
+
+    return vectors.mapInArrow(run, f"qid {kinds[0]}, `{id_col}` {kinds[1]}, score double")
+
+
+def _in_blocks(q: DataFrame, v: DataFrame, k: int, id_col: str) -> DataFrame:
     blocks = max(1, -(-q.count() // QUERY_BLOCK))
     out = None
     for n in range(blocks):
-        block = q.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == n) if blocks > 1 else q
-        pairs = v.crossJoin(F.broadcast(block)).select("qid", "vec_id", F.round(dot, 6).alias("score"))
-        found = ranked(pairs, "qid", "score", "vec_id", k)
+        found = _nearest(v, q.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == n) if blocks > 1 else q, k, id_col)
         out = found if out is None else out.unionByName(found)
-    return out
+    return ranked(out, "qid", "score", id_col, k)
+
+
+def dense_topk(queries: DataFrame, vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vector: str = "embedding", routes: DataFrame | None = None, domain: str = "domain") -> DataFrame:
+    """(qid, id, score, rk) by exact dot products, in double precision. The
+    stated queries meet all vectors in blocks of about ``QUERY_BLOCK``, each
+    small enough to broadcast; a task gives its k best for each query. routes
+    (qid, domain) restrict what a query sees. Null vectors are passed over."""
+    q = queries.where(F.col(vector).isNotNull()).select(F.col(id_col).alias("qid"), F.col(vector).alias("q"))
+    group = F.lit(None).cast("string")
+    if routes is None:
+        q = q.withColumn("groups", F.lit(None).cast("array<string>"))
+    else:
+        group = F.col(domain).cast("string")
+        q = q.join(routes.groupBy("qid").agg(F.collect_set(F.col("domain").cast("string")).alias("groups")), "qid")
+    v = vectors.where(F.col(vector).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector).alias("v"), group.alias("group"))
+    return _in_blocks(q, v, k, id_col)
 
 
 def rrf(rankings: list[DataFrame], k: int = 10, constant: int = 60, item: str = "doc_id") -> DataFrame:
@@ -121,47 +137,53 @@ def rrf(rankings: list[DataFrame], k: int = 10, constant: int = 60, item: str =
     return ranked(fused, "qid", "score", item, k)
 
 
-def coverage(questions: DataFrame, hits: DataFrame, docs: DataFrame, qid: str = "item_id") -> DataFrame:
-    """``hits`` with ``coverage``: the share of the question's words that the
-    document has. A stand-in for a model that scores pairs."""
-    q = questions.select(F.col(qid).alias("qid"), F.array_distinct(tokens(F.col("text"))).alias("asked"))
-    d = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", F.array_distinct(tokens(F.col("text"))).alias("has"))
-    both = hits.join(q, "qid").join(d, "doc_id")
-    share = F.try_divide(F.size(F.array_intersect("asked", "has")), F.size("asked"))
-    return both.withColumn("coverage", F.round(F.coalesce(share, F.lit(0.0)), 6)).drop("asked", "has")
-
-
-def rerank(hits: DataFrame, score: Callable | None = None, schema: str | None = None) -> DataFrame:
-    """A pair-scoring model over ``hits`` in Arrow batches, if there is one."""
-    return hits.mapInPandas(score, schema) if score else hits
+def rerank(hits: DataFrame, questions: DataFrame, texts: DataFrame, model: Callable | None = None, qid: str = "item_id") -> DataFrame:
+    """``hits`` with ``coverage`` replaced by a pair model's score: a function
+    over pandas frames of (qid, doc_id, question, text) that gives (qid,
+    doc_id, relevance), run in Arrow batches. Without a model, the share of the
+    question's words stays, as a stand-in."""
+    if model is None:
+        return hits
+    pairs = hits.select("qid", "doc_id").join(questions.select(F.col(qid).alias("qid"), F.col("text").alias("question")), "qid").join(texts.select("doc_id", "text"), "doc_id")
+    kinds = {c: hits.schema[c].dataType.simpleString() for c in ("qid", "doc_id")}
+    scored = pairs.select("qid", "doc_id", "question", "text").mapInPandas(model, f"qid {kinds['qid']}, doc_id {kinds['doc_id']}, relevance double")
+    return hits.drop("coverage").join(scored, ["qid", "doc_id"]).withColumnRenamed("relevance", "coverage")
 
 
 def gate(hits: DataFrame, least: float, score: str = "coverage") -> DataFrame:
     return hits.where(F.col(score) >= least)
 
 
-def ivf_cells(vectors: DataFrame, cells: int = 16, train_rows: int = 20_000, id_col: str = "vec_id", vector: str = "embedding", seed: int = 7):
+def ivf_cells(vectors: DataFrame, cells: int | None = None, train_rows: int = 20_000, id_col: str = "vec_id", vector: str = "embedding", seed: int = 7):
     """(vectors with ``cell``, centres as rows): k-means on a sample of about
-    ``train_rows`` vectors; every vector is indexed."""
+    ``train_rows`` vectors; every vector is indexed. The number of cells grows
+    with the square root of the number of vectors, 16 to 4096."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     n = vectors.count()
-    sample = vectors.sample(min(1.0, train_rows / max(n, 1)), seed=seed) if n > train_rows else vectors
+    cells = cells or min(4096, max(16, int(n**0.5)))
+    sample = vectors.sample(min(1.0, max(train_rows, 20 * cells) / max(n, 1)), seed=seed) if n > train_rows else vectors
     model = KMeans(k=cells, seed=seed, featuresCol="features").fit(sample.select(array_to_vector(F.col(vector)).alias("features")))
     marked = model.transform(vectors.select(id_col, vector, array_to_vector(F.col(vector)).alias("features"))).select(id_col, vector, F.col("prediction").alias("cell"))
     return marked, [[float(x) for x in c] for c in model.clusterCenters()]
 
 
-def ann_topk(queries: DataFrame, marked: DataFrame, centres: list, k: int = 10, probes: int = 11, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Top k within each query's ``probes`` nearest cells: an equi-join. With 16
-    cells, 11 probes find 0.95 to 0.98 of the exact results on the test tables
-    (6 find 0.81 to 0.86); these vectors hardly cluster."""
-    spark = marked.sparkSession
-    c = spark.createDataFrame(list(enumerate(centres)), "cell int, centre array<double>")
-    dist = F.aggregate(F.zip_with("q", "centre", lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)), F.lit(0.0), lambda s, x: s + x)
-    q = queries.select(F.col(id_col).alias("qid"), F.col(vector).alias("q"))
-    near = q.crossJoin(F.broadcast(c)).withColumn("far", -dist)  # one row for each centre
-    near = ranked(near, "qid", "far", "cell", probes, "probe").select("qid", "q", "cell")
-    dot = F.aggregate(F.zip_with("q", vector, lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    return ranked(marked.join(near, "cell").select("qid", id_col, F.round(dot, 6).alias("score")), "qid", "score", id_col, k)
+def ann_topk(queries: DataFrame, marked: DataFrame, centres: list, k: int = 10, probes: float = PROBES, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """Top k within the cells nearest to each query, as many as hold a share
+    ``probes`` of all cells. Nothing is joined: a task multiplies its vectors
+    with the queries that probe their cell, so a hot cell is spread like any."""
+    c = np.array(centres)
+    n = max(1, int(np.ceil(probes * len(c))))
+    # Each query's nearest cells, by a matrix product in Arrow batches.
+    def near(batches):
+        for batch in batches:
+            q = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.float64)
+            cells = np.argsort((c * c).sum(axis=1) - 2 * q @ c.T, axis=1, kind="stable")[:, :n]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[str(x) for x in row] for row in cells.tolist()], pa.list_(pa.string()))], ["qid", "q", "groups"])
+
+    kind = queries.schema[id_col].dataType.simpleString()
+    q = queries.where(F.col(vector).isNotNull()).select(F.col(id_col).alias("qid"), F.col(vector).cast("array<double>").alias("q"))
+    q = q.mapInArrow(near, f"qid {kind}, q array<double>, groups array<string>")
+    v = marked.select(F.col(id_col).alias("id"), F.col(vector).alias("v"), F.col("cell").cast("string").alias("group"))
+    return _in_blocks(q, v, k, id_col)

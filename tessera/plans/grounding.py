@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokens
-from tessera.operators import answering, chunking, evaluation, facts, graph, indexing, retrieval
+from tessera.operators import answering, chunking, evaluation, facts, graph, indexing, lexical, retrieval
+from tessera.operators.lexical import Index
 from tessera.session import Options
 from tessera.sources import store
 from tessera.sources.store import table as t
@@ -65,6 +66,8 @@ aud1 AS (SELECT *, len(cites) = 0 AS uncited, len(list_filter(cites, lambda c: N
 aud AS (SELECT qid, pos, sentence, uncited, bad_citation, speculation, len(list_filter(nums, lambda v: NOT list_contains(have, v))) > 0 AS bad_number FROM aud1),
 audited AS (SELECT *, uncited OR bad_citation OR speculation OR bad_number AS struck FROM aud)"""
 ROUTES = f"WITH {TF}, {QUESTIONS}, {STATS}, per AS (SELECT source AS domain, term, count(*) AS m FROM tf GROUP BY ALL), sz AS (SELECT source AS domain, count(*) AS dd FROM d GROUP BY 1), rs AS (SELECT qid, domain, round(sum({_IDF} * m / dd), 6) AS score FROM qt JOIN per USING (term) JOIN df USING (term) JOIN sz USING (domain) CROSS JOIN g GROUP BY ALL), routes AS (SELECT * FROM rs QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, domain) <= 3)"
+ROUTED_TOP = f"{ROUTES}, s AS (SELECT qid, doc_id, round(sum({_PART}), 6) AS score FROM qt JOIN tf USING (term) JOIN df USING (term) JOIN dl USING (doc_id) CROSS JOIN g WHERE EXISTS (SELECT 1 FROM routes r WHERE r.qid = qt.qid AND r.domain = tf.source) GROUP BY qid, doc_id), top AS (SELECT *, (row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id))::INT AS rk FROM s QUALIFY rk <= 10)"
+AUDIT_ROUTED = ROUTED_TOP + AUDIT.removeprefix(BM25).replace("planted AS (SELECT qid, answer || ", "unused AS (SELECT qid, answer || ").replace("FROM planted)", "FROM ans)") + """, closed AS (SELECT qid, CASE WHEN count(*) FILTER (NOT struck) > 0 THEN string_agg(sentence, '. ' ORDER BY pos) FILTER (NOT struck) || '.' ELSE 'Not supported by the indexed corpus.' END AS answer, array_to_string(list(sentence ORDER BY pos) FILTER (struck), ' | ') AS struck FROM audited GROUP BY qid)"""
 MENTIONS = f"WITH {DOCS}, {QUESTIONS}, names AS (SELECT w[1] AS name, min(doc_id) AS doc_id FROM d WHERE length(w[1]) >= 6 GROUP BY 1), men AS (SELECT qid, name, doc_id FROM qt JOIN names ON term = name)"
 
 
@@ -79,21 +82,34 @@ def _docs(spark, d) -> DataFrame:
     return store.spread(t(spark, d, "documents").select("doc_id", "source", "text"))
 
 
+_INDEXES: dict = {}
+
+
+def _index(spark, d) -> Index:
+    """The stored index of ``documents``, made when a session first asks for it
+    and again when the table's files have changed."""
+    key = (spark.sparkContext.applicationId, d)
+    state = store.state_of(spark, f"{d}/documents.parquet")
+    if key not in _INDEXES or _INDEXES[key][0] != state:
+        _INDEXES[key] = state, lexical.write(_docs(spark, d), store.work_folder(spark))
+    return _INDEXES[key][1]
+
+
 def _top(spark, d) -> DataFrame:
-    return retrieval.bm25_topk(_questions(spark, d), _docs(spark, d), OPTIONS.top_k, k1=OPTIONS.k1, b=OPTIONS.b)
+    return retrieval.bm25_topk(_questions(spark, d), _index(spark, d), OPTIONS.top_k, k1=OPTIONS.k1, b=OPTIONS.b)
 
 
 def _gated(spark, d) -> DataFrame:
-    return retrieval.gate(retrieval.coverage(_questions(spark, d), _top(spark, d), _docs(spark, d)), OPTIONS.rerank_min)
+    return retrieval.gate(_top(spark, d), OPTIONS.rerank_min)
 
 
 def _evidence(spark, d) -> DataFrame:
-    return answering.evidence(_gated(spark, d), _questions(spark, d), _docs(spark, d), OPTIONS.evidence)
+    return answering.evidence(_gated(spark, d), _questions(spark, d), _index(spark, d), OPTIONS.evidence)
 
 
 def _planted(spark, d) -> tuple[DataFrame, DataFrame]:
     """Extractive answers with four faulty sentences added, and their evidence."""
-    ev = _evidence(spark, d)
+    ev = store.written(_evidence(spark, d))  # small, and read several times
     first = ev.groupBy("qid").agg(F.min(F.struct("rk", F.concat("file", F.lit(":"), F.col("line").cast("string")).alias("k"))).alias("f")).select("qid", F.col("f.k").alias("k"))
     text = F.concat(F.col("answer"), F.lit(" The limit is 421777 ["), "k", F.lit("]. See more [nowhere/1:999999]. It might be so ["), "k", F.lit("]. Nothing is cited here."))
     return answering.extractive(ev).join(first, "qid").select("qid", text.alias("answer")), ev
@@ -137,9 +153,19 @@ def domain_partition_counts(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("domain").agg(F.count("*").alias("docs"), F.countDistinct("doc_id").alias("ids"), F.min("doc_id").alias("first")).withColumn("domain", F.col("domain").cast("string"))
 
 
+@query("SELECT label::VARCHAR AS domain, count(*) AS vectors, min(vec_id) AS first, round(sum(embedding[1]::DOUBLE), 4) AS total FROM embeddings GROUP BY 1")
+def dense_store_by_domain(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors joined to their domains, stored a folder a domain, read back."""
+    v, path = t(spark, d, "embeddings"), f"{store.work_folder(spark)}/vectors"
+    domains = v.select("vec_id", F.col("label").cast("string").alias("domain"))
+    store.write_by_domain(indexing.with_domain(v.select("vec_id", "embedding"), domains, "vec_id"), path)
+    back = spark.read.parquet(path).groupBy("domain").agg(F.count("*").alias("vectors"), F.min("vec_id").alias("first"), F.round(F.sum(F.element_at("embedding", 1).cast("double")), 4).alias("total"))
+    return back.withColumn("domain", F.col("domain").cast("string"))
+
+
 @query(f"WITH {TF} SELECT source AS domain, count(DISTINCT doc_id) AS docs, (sum(tf))::BIGINT AS words, count(*) AS postings, count(DISTINCT term) AS terms FROM tf GROUP BY 1")
 def lexical_index_stats(spark: SparkSession, d: str) -> DataFrame:
-    return indexing.domain_statistics(_docs(spark, d))
+    return indexing.domain_statistics(_index(spark, d))
 
 
 @query(f"WITH {DOCS}, {QUESTIONS}, {GOLD} SELECT qid, doc_id FROM gold")
@@ -200,6 +226,17 @@ def entity_mention_join(spark: SparkSession, d: str) -> DataFrame:
     return _mentions(spark, d)
 
 
+@query("""SELECT s_suppkey, replace(r_name, ' ', '_') || '::' || n_name AS name, n_nationkey FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""")
+def entity_mention_names(spark: SparkSession, d: str) -> DataFrame:
+    """Qualified names in other spellings inside questions: ``Asia::INDIA``."""
+    nation, region = t(spark, d, "nation"), t(spark, d, "region")
+    names = nation.join(region, nation.n_regionkey == region.r_regionkey).select(F.concat(F.replace("r_name", F.lit(" "), F.lit("_")), F.lit("::"), "n_name").alias("name"), "n_nationkey")
+    asked = t(spark, d, "supplier").join(names, F.col("s_nationkey") == F.col("n_nationkey"))
+    said = F.when(F.col("s_suppkey") % 2 == 0, F.initcap("name")).otherwise(F.lower("name"))
+    questions = asked.select("s_suppkey", F.concat(F.lit("Who calls "), said, F.lit(", and from where?")).alias("text"))
+    return facts.mentions(questions, names, "s_suppkey")
+
+
 @query(f"{MENTIONS} SELECT qid AS item_id, CASE WHEN qid IN (SELECT qid FROM men) THEN 'direct' ELSE 'retrieve' END AS path FROM q")
 def direct_vs_retrieve_split(spark: SparkSession, d: str) -> DataFrame:
     q = _questions(spark, d).select("item_id")
@@ -239,15 +276,16 @@ def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------------------ graph
 
 
-@query("""SELECT src, dst, n FROM (SELECT page_id AS src, dst, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS dst FROM pages) GROUP BY ALL) WHERE dst IN ('/The', '/and', '/to')""")
+@query("""SELECT src, dst, n FROM (SELECT page_id AS src, dst, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS dst FROM pages) GROUP BY ALL) WHERE dst IN (SELECT unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) FROM pages WHERE page_id % 100 = 0)""")
 def graph_callers(spark: SparkSession, d: str) -> DataFrame:
-    targets = spark.createDataFrame([("/The",), ("/and",), ("/to",)], "dst string")
+    """Who links to what the stated pages link to."""
+    targets = graph.link_edges(t(spark, d, "pages").where("page_id % 100 = 0")).select("dst")
     return graph.callers(_edges(spark, d), targets).select("src", "dst", "n")
 
 
-@query("""SELECT src, dst, n FROM (SELECT page_id AS src, dst, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS dst FROM pages) GROUP BY ALL) WHERE src < 10""")
+@query("""SELECT src, dst, n FROM (SELECT page_id AS src, dst, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS dst FROM pages) GROUP BY ALL) WHERE src % 100 = 0""")
 def graph_callees(spark: SparkSession, d: str) -> DataFrame:
-    return graph.callees(_edges(spark, d), spark.range(10).select(F.col("id").alias("src"))).select("src", "dst", "n")
+    return graph.callees(_edges(spark, d), t(spark, d, "pages").where("page_id % 100 = 0").select(F.col("page_id").alias("src"))).select("src", "dst", "n")
 
 
 @query("""
@@ -299,7 +337,7 @@ QUERIES["tokens"], ORACLES["tokens"] = QUERIES.pop("tokens_per_document"), ORACL
 
 @query(f"WITH {TF} SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM tf GROUP BY term")
 def term_stats(spark: SparkSession, d: str) -> DataFrame:
-    return indexing.term_statistics(_docs(spark, d))
+    return indexing.term_statistics(_index(spark, d))
 
 
 # ------------------------------------------------------------------ retrieval
@@ -307,13 +345,13 @@ def term_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"{ROUTES} SELECT qid, array_to_string(list(domain ORDER BY domain), ',') AS routed FROM routes GROUP BY qid")
 def route_topm(spark: SparkSession, d: str) -> DataFrame:
-    routes = retrieval.route(_questions(spark, d), _docs(spark, d), OPTIONS.routed_domains)
+    routes = retrieval.route(_questions(spark, d), _index(spark, d), OPTIONS.routed_domains)
     return routes.groupBy("qid").agg(F.array_join(F.sort_array(F.collect_set("domain")), ",").alias("routed"))
 
 
 @query(f"{BM25} SELECT qid, doc_id, score, rk FROM top")
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
-    return _top(spark, d)
+    return _top(spark, d).drop("coverage")
 
 
 @query("""
@@ -341,21 +379,20 @@ SELECT *, (row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id))::IN
 def rrf_fuse(spark: SparkSession, d: str) -> DataFrame:
     """BM25 fused with the ranking by question coverage."""
     top = _top(spark, d)
-    cov = retrieval.coverage(_questions(spark, d), top, _docs(spark, d)).drop("rk")
+    cov = top.drop("rk")
     return retrieval.rrf([top, retrieval.ranked(cov, "qid", "coverage", "doc_id", None)], OPTIONS.top_k)
 
 
 @query(f"""{ROUTES}, s AS (SELECT qid, doc_id, round(sum({_PART}), 6) AS score FROM qt JOIN tf USING (term) JOIN df USING (term) JOIN dl USING (doc_id) CROSS JOIN g WHERE EXISTS (SELECT 1 FROM routes r WHERE r.qid = qt.qid AND r.domain = tf.source) GROUP BY qid, doc_id)
 SELECT *, (row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id))::INT AS rk FROM s QUALIFY rk <= 10""")
 def bm25_routed_topk(spark: SparkSession, d: str) -> DataFrame:
-    q, docs = _questions(spark, d), _docs(spark, d)
-    allowed = retrieval.routed_candidates(retrieval.route(q, docs, OPTIONS.routed_domains), docs)
-    return retrieval.bm25_topk(q, docs, OPTIONS.top_k, allowed)
+    q, index = _questions(spark, d), _index(spark, d)
+    return retrieval.bm25_topk(q, index, OPTIONS.top_k, retrieval.route(q, index, OPTIONS.routed_domains)).drop("coverage")
 
 
 @query(f"{COVER} SELECT qid, doc_id, score, rk, coverage FROM cov")
 def rerank_coverage(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.coverage(_questions(spark, d), _top(spark, d), _docs(spark, d))
+    return retrieval.rerank(_top(spark, d), _questions(spark, d), _index(spark, d).texts)
 
 
 @query(f"{GATED} SELECT qid, doc_id, score, rk, coverage FROM gated")
@@ -383,13 +420,21 @@ def answer_modes(spark: SparkSession, d: str) -> DataFrame:
     return answering.modes(_questions(spark, d), _mentions(spark, d), _gated(spark, d))
 
 
-@query(None)
+RECORD = rf"""{AUDIT_ROUTED}
+SELECT q.qid, coalesce(a.answer, '{answering.REFUSAL}') AS answer, CASE WHEN a.qid IS NULL OR a.answer = '{answering.REFUSAL}' THEN 'refused' ELSE 'extractive' END AS mode,
+  coalesce(array_to_string(regexp_extract_all(a.answer, '\[([^\[\]:]+:\d+)\]', 1), ' '), '') AS citations, coalesce(a.struck, '') AS struck, coalesce(r.routed, '') AS routed
+FROM q LEFT JOIN closed a USING (qid) LEFT JOIN (SELECT qid, array_to_string(list(domain ORDER BY domain), ',') AS routed FROM routes GROUP BY qid) r USING (qid)"""
+
+
+@query(RECORD)
 def answer_record(spark: SparkSession, d: str) -> DataFrame:
-    """The record of every question as it goes over the wire, in JSON."""
+    """The record of every question: answer, mode, citations, what the audit
+    struck, and the domains that were searched."""
     from tessera.plans.pipeline import ask
 
-    record = ask(_questions(spark, d), _docs(spark, d), OPTIONS)
-    return record.select("qid", F.to_json(F.struct("answer", "mode", "citations", "struck", "routed")).alias("record"))
+    record = ask(_questions(spark, d), _index(spark, d), OPTIONS)
+    cited = F.array_join(F.transform("citations", lambda c: F.concat(c["file"], F.lit(":"), c["line"].cast("string"))), " ")
+    return record.select("qid", "answer", "mode", cited.alias("citations"), F.array_join("struck", " | ").alias("struck"), F.array_join("routed", ",").alias("routed"))
 
 
 # ------------------------------------------------------------------ audit

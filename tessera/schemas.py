@@ -1,12 +1,6 @@
-"""Explicit schemas of the tables; nothing is inferred."""
+"""Explicit schemas of files that are read; nothing is inferred."""
 
-FILES = "snapshot string, path string, kind string, content string"
-SYMBOLS = "snapshot string, domain string, name string, qualified string, kind string, file string, line int, origin string"
-CALLS = "snapshot string, src string, dst string, file string, line int"
-PARAMS = "snapshot string, group string, leaf string, full_name string, dflt string, lo double, hi double, units string, file string, line int"
-MESSAGES = "snapshot string, protocol string, msg_id int, name string, fields array<struct<name:string,type:string>>"
 CHUNKS = "chunk_id string, domain string, source_kind string, file string, line_start int, line_end int, text string"
-VECTORS = "chunk_id string, domain string, embedding array<float>"
+VECTORS = "chunk_id string, model string, embedding array<float>"
 GOLD = "qid string, question string, type string, expect array<string>"
 MANIFEST = "name string, url string, sha string"
-ANSWERS = "qid string, answer string, mode string, citations array<struct<file:string,line:int>>, struck array<string>, routed array<string>"

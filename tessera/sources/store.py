@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +24,27 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The same rows in as many partitions as there are cores, if the scan has
-    fewer: work on texts costs far more than moving them once. A large table
-    already has more partitions and is left as it is."""
+    """The same rows in as many partitions as there are cores, if the table has
+    fewer files: work on texts costs far more than moving them once. A large
+    table has more files and is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+
+
+def state_of(spark: SparkSession, path: str) -> tuple:
+    """What tells whether a table's files have changed; contents aren't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return tuple(sorted(map(tuple, files.select(F.xxhash64("path", "modificationTime", "length").alias("x")).groupBy().agg(F.count("*"), F.bit_xor("x"), F.sum(F.shiftright("x", 20))).collect())))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table with files at a path."""
+    try:
+        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").take(1))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -41,12 +58,13 @@ def read_corpus(spark: SparkSession, root: str, snapshot: str, kinds: dict[str,
     """Files of a pinned corpus. kinds: glob of file names -> kind of file.
 
     Undecodable bytes become replacement characters; every row carries the
-    snapshot it was read from.
+    snapshot it was read from, and its path without the store's scheme, whose
+    colon a citation could not hold.
     """
     parts = []
     for glob, kind in kinds.items():
         found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
-        parts.append(found.select(F.lit(snapshot).alias("snapshot"), F.col("path"), F.lit(kind).alias("kind"), F.make_valid_utf8(F.col("content").cast("string")).alias("content")))
+        parts.append(found.select(F.lit(snapshot).alias("snapshot"), F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "").alias("path"), F.lit(kind).alias("kind"), F.make_valid_utf8(F.col("content").cast("string")).alias("content")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -82,9 +100,7 @@ def repack(spark: SparkSession, source: str, target: str, max_bytes: int = 25_00
     """Rewrite a table so that no file exceeds about ``max_bytes``: rows per
     file follow from the mean stored size of a row."""
     df = spark.read.parquet(source)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(source)
-    size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    size = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).agg(F.sum("length")).first()[0] or 0
     rows = max(1, df.count())
     per_file = max(1, int(rows * max_bytes * 0.8 / max(size, 1)))
     df.repartition(max(1, -(-rows // per_file))).write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(target)

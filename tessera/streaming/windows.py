@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def events_in_utc(events: DataFrame, ts: str = "ts") -> DataFrame:
@@ -33,6 +35,41 @@ def deduplicated(events: DataFrame, late: str, ts: str = "ts", key: str = "event
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
 
 
+def bursts(events: DataFrame, n: int, within: str, late: str = "1 hour", ts: str = "ts", key: str = "user_id") -> DataFrame:
+    """(key, first, last, n): whenever a key has had ``n`` events no more than
+    ``within`` apart from first to last; then it starts anew.
+
+    Custom state of a stream: a key's last ``n`` - 1 time stamps, in order of
+    arrival by batch and of time inside one, forgotten ``within`` after the
+    watermark has passed them. Rows without a key or a time are left out.
+    """
+    kind = events.schema[key].dataType.simpleString()
+    gap = pd.Timedelta(within)
+
+    def run(name, frames, state: GroupState):
+        held = [pd.Timestamp(x, unit="us", tz="UTC") for x in (state.get[0] if state.exists else [])]
+        out = []
+        if state.hasTimedOut:
+            state.remove()
+            return
+        for f in frames:
+            for at in sorted(f[ts].dt.tz_localize("UTC") if f[ts].dt.tz is None else f[ts]):
+                held = [h for h in held if at - h <= gap] + [at]
+                if len(held) >= n:
+                    out.append((name[0], held[0], held[-1], len(held)))
+                    held = []
+        if held:
+            state.update(([int(h.value // 1000) for h in held],))
+            state.setTimeoutTimestamp(max(int((held[-1] + gap).value // 1_000_000), state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=[key, "first", "last", "n"])
+
+    kept = events.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, late).select(key, ts)
+    return kept.groupBy(key).applyInPandasWithState(run, f"`{key}` {kind}, first timestamp, last timestamp, n int", "held array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def resume_index(spark, chunks_path: str, schema: str, embed, out_path: str, checkpoint: str):
     """Index new chunk files only: a file stream that stops when it has caught
     up; what was embedded is known from the checkpoint."""

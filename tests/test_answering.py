@@ -1,5 +1,13 @@
-from tessera.operators import answering, evaluation, retrieval
-from tessera.plans.pipeline import ask, build_gold, evaluate
+import json
+import threading
+import urllib.request
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import answering, evaluation, facts, indexing, lexical, retrieval
+from tessera.plans.pipeline import Service, ask, build_all, build_gold, evaluate, search
 from tessera.session import Options
 
 
@@ -66,7 +74,7 @@ def test_a_model_is_labelled_as_one(spark):
 def test_routing_to_all_domains_changes_nothing(spark):
     docs, questions = corpus(spark)
     routes = retrieval.route(questions, docs, 2)
-    routed = retrieval.bm25_topk(questions, docs, 10, retrieval.routed_candidates(routes, docs))
+    routed = retrieval.bm25_topk(questions, docs, 10, routes)
     assert sorted(routed.collect()) == sorted(retrieval.bm25_topk(questions, docs, 10).collect())
 
 
@@ -96,6 +104,110 @@ def test_dense_search_in_blocks(spark, sf, monkeypatch):
     assert sorted(map(tuple, retrieval.dense_topk(q, v).collect())) == whole
 
 
+REFERENCE_QUESTIONS = [
+    (1, "What is the default and range of EK3_HGT_DELAY?"), (2, "who calls NavEKF3::healthy?"), (3, "What is the message ID of HEARTBEAT?"), (4, "Which file defines navekf3::HEALTHY"), (5, "What about ekf in general?"),
+]
+
+
+def exact_facts(spark):
+    params = spark.createDataFrame([("a/p.cpp", "EK3_HGT_DELAY", "60", 0.0, 250.0, "ms")], "path string, full_name string, dflt string, lo double, hi double, units string")
+    symbols = spark.createDataFrame([("a/ekf.cpp", "NavEKF3::healthy", "function", 4, 9)], "path string, name string, kind string, line_start int, line_end int")
+    messages = spark.createDataFrame([("xml", 0, "HEARTBEAT")], "protocol string, msg_id int, name string")
+    calls = spark.createDataFrame([("run", "NavEKF3::healthy", "a/main.cpp", 12), ("arm", "NavEKF3::healthy", "a/arm.cpp", 3)], "src string, dst string, file string, line int")
+    return facts.named_facts(params, symbols, messages, calls)
+
+
+def test_exact_facts_answer_names_in_any_spelling(spark):
+    questions = spark.createDataFrame(REFERENCE_QUESTIONS, "item_id int, text string")
+    got = {r.item_id: r.answer for r in facts.direct_answers(questions, exact_facts(spark)).collect()}
+    assert got == {
+        1: "EK3_HGT_DELAY: default 60; from 0.0; to 250.0; units ms", 2: "NavEKF3::healthy is called by arm, run", 3: "HEARTBEAT has id 0 in xml", 4: "NavEKF3::healthy is a function in a/ekf.cpp:4",
+    }
+    docs, _ = corpus(spark)
+    modes = {r.qid: (r.mode, len(r.citations)) for r in ask(questions, docs, Options(), exact_facts(spark)).collect()}
+    assert modes == {1: ("direct", 1), 2: ("direct", 1), 3: ("direct", 0), 4: ("direct", 1), 5: ("refused", 0)}
+
+
+def test_every_option_changes_the_answer(spark):
+    docs, questions = corpus(spark)
+    index = lexical.of(docs)
+    answers = lambda options=Options(), **hooks: {r.qid: (r.answer, r.mode, tuple(r.struck)) for r in ask(questions, index, options, **hooks).collect()}
+    plain = answers()
+    assert plain[11][1] == "refused"
+
+    def judge(frames):
+        for f in frames:
+            assert (f["evidence"].str.len() > 0).all()
+            yield f[["qid", "pos"]].assign(support=0.1)
+
+    def reranker(frames):
+        for f in frames:
+            yield f[["qid", "doc_id"]].assign(relevance=(f["doc_id"] == 2).astype(float))
+
+    struck = answers(Options(semantic_audit=True), judge=judge)
+    assert struck[10][1] == "refused" and struck[10][2]
+    assert answers(Options(semantic_audit=True, semantic_min=0.05), judge=judge) == plain
+    assert "y/2" in answers(reranker=reranker)[10][0] and "x/1" in plain[10][0]
+    assert answers(Options(rerank_min=1.1))[10][1] == "refused"
+    assert "y/2" in answers(Options(rerank=False))[10][0]
+    assert "y/2" not in answers(Options(rerank=False, evidence=1))[10][0]
+    assert "y/2" not in answers(Options(rerank=False, top_k=1))[10][0]
+    assert "y/2" not in answers(Options(rerank=False, routed_domains=1))[10][0]
+    for options in (Options(semantic_audit=True), Options(gen_model="m"), Options(dense=True, embed_model="m"), Options(semantic_judge="x"), Options(dense=True)):
+        with pytest.raises(ValueError):
+            answers(options)
+
+
+def test_dense_and_lexical_rankings_are_fused(spark):
+    docs, questions = corpus(spark)
+    vectors = indexing.hashed_vectors(docs.where("text is not null"), "doc_id").join(docs.select("doc_id", F.col("source").alias("domain")), "doc_id")
+    index = replace(lexical.of(docs), vectors=vectors)
+    top, _ = search(questions, index, Options(dense=True, rerank=False))
+    got = {(r.qid, r.doc_id): r.score for r in top.collect()}
+    assert got[10, 1] == round(2 / 61, 9) and got[10, 2] == round(2 / 62, 9)
+
+
+def test_rebuild_and_service(spark, tmp_path):
+    root = tmp_path / "corpus" / "ekf"
+    root.mkdir(parents=True)
+    (root / "ekf.cpp").write_text('#define LIMIT 3\nclass EK3 {\n  // @Param: HGT_DELAY\n  // @Range: 0 250\n  // @Units: ms\n  // @Default: 60\n};\nbool NavEKF3::healthy() {\n  return ok("}{");  // {\n}\nvoid run() {\n  NavEKF3::healthy();\n}\n')
+    (root / "notes.md").write_text("# Filter\nThe height delay compensates late barometer samples in the filter.\n")
+    (root / "341.NodeStatus.uavcan").write_text("uint32 uptime\n")
+    (root / "common.xml").write_text('<mavlink><messages><message id="0" name="HEARTBEAT"><field type="uint8_t" name="a"/></message></messages></mavlink>')
+    folder = f"file://{tmp_path}/kb"
+    for _ in range(2):  # the second run embeds nothing new
+        build_all(spark, f"file://{root}", "sha1", folder)
+    t = lambda name: spark.read.parquet(f"{folder}/{name}")
+    chunks = spark.read.json(f"{folder}/chunks")
+    assert t("vectors").count() == chunks.count() == t("lexical/texts").count() == t("texts_repacked").count()
+    assert {r.text for r in chunks.collect()} >= {"#define LIMIT 3"}
+    assert {(r.full_name, r.dflt, r.snapshot) for r in t("params").collect()} == {("EK3_HGT_DELAY", "60", "sha1")}
+    assert {(r.name, r.msg_id) for r in t("messages").collect()} == {("HEARTBEAT", 0), ("NodeStatus", 341)}
+    assert "domain=ekf" in spark.read.parquet(f"{folder}/vectors_by_domain").inputFiles()[0]
+    service = Service(spark, folder, Options(rerank_min=0.6, port=0))
+    direct, found, none = service.ask(["What is the default of EK3_HGT_DELAY?", "height delay compensates late barometer", "unheard of thing"])
+    assert direct["mode"] == "direct" and "default 60" in direct["answer"]
+    assert found["mode"] == "extractive" and found["citations"][0]["file"].endswith("notes.md") and found["citations"][0]["line"] == 2 and found["routed"] == ["ekf"]
+    assert none["mode"] == "refused"
+    server = service.serve()
+    threading.Thread(target=server.handle_request, daemon=True).start()
+    with urllib.request.urlopen(urllib.request.Request(f"http://127.0.0.1:{server.server_port}", json.dumps({"q": "who calls navekf3::healthy"}).encode())) as r:
+        assert json.loads(r.read())["answer"] == "NavEKF3::healthy is called by run"
+    server.server_close()
+    with pytest.raises(ValueError):
+        Service(spark, folder, Options(dense=True, embed_model="other"))
+
+
+def test_stored_index_equals_its_plan(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    questions = spark.read.parquet(f"{sf}/benchmark.parquet")
+    stored, planned = lexical.write(docs, f"file://{tmp_path}/i"), lexical.of(docs)
+    routes = [sorted(map(tuple, retrieval.route(questions, i, 2).collect())) for i in (stored, planned)]
+    assert routes[0] == routes[1]
+    tops = [sorted(map(tuple, retrieval.bm25_topk(questions, i, 5, retrieval.route(questions, i, 2)).collect())) for i in (stored, planned)]
+    assert tops[0] == tops[1] and tops[0]
+
+
 def test_cell_index_recall(spark):
     import __spark_entry__
 
