@@ -32,15 +32,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table, work_folder, written
+from tessera.llm.common import PLAIN, bounded, table, work_folder, written
 
 #: A record's block is cut into segments of so many bytes.
 SEGMENT_BYTES = 16 << 10
 #: Size at which an archive file is closed.
-ARCHIVE_BYTES = 16 << 20
+ARCHIVE_BYTES = 8 << 20
 CHUNK_BYTES = 4 << 10
 #: Up to so many repeated payloads (about 100 bytes each) are broadcast.
-BROADCAST_PAYLOADS = 500_000
+BROADCAST_PAYLOADS = 300_000
+#: Bytes of payloads or blocks that a Python worker holds as objects, about.
+HELD_BYTES = 2 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
@@ -153,7 +155,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
     def run(batches):
         held, size, part = [], 0, TaskContext.get().partitionId()
-        for k, batch in enumerate(batches):
+        for k, batch in enumerate(bounded(batches, 2, HELD_BYTES)):
             for r, (page_id, url, text, refers, salted) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(5)))):
                 # A lone response is found by its page; other rows may repeat an id.
                 row = f"{part}/{k}/{r}" if salted else ""
@@ -169,7 +171,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     def image(parts):  # the writer adds the line feed that ends the last record
         return pa.RecordBatch.from_arrays([pa.array([b"".join(parts)[:-1]], pa.binary())], ["archive"])
 
-    rows.mapInArrow(run, "archive binary").select(F.col("archive").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    rows.mapInArrow(run, "archive binary").select(F.col("archive").cast("string").alias("value")).write.options(**PLAIN, maxRecordsPerFile=1).text(folder)
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,7 +186,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
                 for headers, block in parse_archive(content.as_buffer().to_pybytes()):
                     rows.append((list(headers.items()), block))
                     size += len(block)
-                    if size >= 4 << 20:
+                    if size >= HELD_BYTES:
                         yield as_batch(rows)
                         rows, size = [], 0
                 if rows:
@@ -201,22 +203,46 @@ def reassemble(records: DataFrame) -> DataFrame:
     ``error`` (null, or why the segments don't make a whole record).
 
     Segments may stand in any archives and any order. Unsegmented records are
-    passed on as they are.
+    passed on as they are. Of segments that don't follow one another (a number
+    is missing or repeats, the stated total differs) nothing more is held than
+    the first error.
     """
-    number = F.try_element_at("headers", F.lit("warc-segment-number")).cast("int")
-    whole = records.where(number.isNull()).select("headers", "block", F.lit(None).cast("string").alias("error"))
-    cut = records.where(number.isNotNull()).select(
+    number = F.try_element_at("headers", F.lit("warc-segment-number")).try_cast("int")
+    segmented = F.try_element_at("headers", F.lit("warc-segment-number")).isNotNull()
+    whole = records.where(~segmented).select("headers", "block", F.lit(None).cast("string").alias("error"))
+    cut = records.where(segmented).select(
         F.coalesce(F.try_element_at("headers", F.lit("warc-segment-origin-id")), F.try_element_at("headers", F.lit("warc-record-id"))).alias("origin"),
-        F.struct(number.alias("number"), "block", F.try_element_at("headers", F.lit("warc-segment-total-length")).cast("long").alias("total"), F.when(number == 1, F.map_entries("headers")).alias("head")).alias("part"),
-    )
-    # A group holds the segments of one record, never more than one payload.
-    joined = cut.groupBy("origin").agg(F.array_sort(F.collect_list("part"), lambda a, b: F.when(a["number"] < b["number"], -1).when(a["number"] > b["number"], 1).otherwise(0)).alias("parts"))
-    joined = joined.select("parts", F.concat(F.array_join(F.transform("parts", lambda p: F.hex(p["block"])), "")).alias("hexed"))
-    block = F.unhex("hexed")
-    order = F.transform("parts", lambda p: p["number"]) == F.sequence(F.lit(1), F.size("parts"))
-    total = F.element_at("parts", -1)["total"]
-    error = F.when(~order, F.lit("segments are missing or repeat")).when(total.isNull(), F.lit("no total length")).when(total != F.octet_length(block), F.lit("the total length differs"))
-    return whole.unionByName(joined.select(F.map_from_entries(F.element_at("parts", 1)["head"]).alias("headers"), block.alias("block"), error.alias("error")))
+        number.alias("number"), F.try_element_at("headers", F.lit("warc-segment-total-length")).try_cast("long").alias("total"), F.when(number == 1, F.map_entries("headers")).alias("head"), "block",
+    )
+
+    def run(batches):
+        origin, head, parts, size, last, total, error, open_ = None, None, [], 0, 0, None, None, False
+
+        def out():
+            why = error or ("no total length" if total is None else "the total length differs" if total != size else None)
+            pairs = pa.array([[(e["key"], e["value"]) for e in head or []]], pa.map_(pa.string(), pa.string()))
+            return pa.RecordBatch.from_arrays([pairs, pa.array([b"".join(parts)], pa.binary()), pa.array([why], pa.string())], ["headers", "block", "error"])
+
+        for batch in batches:
+            keys, numbers, totals, heads = (batch.column(c).to_pylist() for c in range(4))
+            for r, key in enumerate(keys):
+                if not open_ or key != origin:
+                    if open_:
+                        yield out()
+                    origin, head, parts, size, last, total, error, open_ = key, None, [], 0, 0, None, None, True
+                if error is None and (numbers[r] != last + 1 or total is not None):
+                    error, parts = "segments are missing or repeat", []
+                head = head or heads[r]
+                if error is None:
+                    part = batch.column(4)[r].as_py()
+                    parts.append(part)
+                    size, last, total = size + len(part), numbers[r], totals[r]
+        if open_:
+            yield out()
+
+    # Rows of one record stand together, so a task holds one record's block.
+    joined = cut.repartition("origin").sortWithinPartitions("origin", F.col("number").asc_nulls_first()).mapInArrow(run, "headers map<string,string>, block binary, error string")
+    return whole.unionByName(joined)
 
 
 def decode(logical: DataFrame) -> DataFrame:
@@ -225,7 +251,7 @@ def decode(logical: DataFrame) -> DataFrame:
     (both of the full payload), ``refers_to`` string, ``error``."""
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches, 1, HELD_BYTES):
             rows = []
             for headers, block, error in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 h = {e["key"]: e["value"] for e in headers or []}
