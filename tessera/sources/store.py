@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -49,8 +50,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder in the one that driver and executors share: what
-    ``spark.checkpoint.dir`` names, else one in the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    ``spark.checkpoint.dir`` names. Where that is unset, a local session takes
+    one in the warehouse; on a cluster it is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
