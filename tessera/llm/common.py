@@ -48,11 +48,14 @@ def word_count(col: Column) -> Column:
 def work_folder(spark: SparkSession) -> str:
     """A new folder name under the folder that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, as
-    in local tests, a folder under the warehouse is set for the session.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a
+    local session sets a folder under the warehouse; a cluster's executors
+    would not see that, so there it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -28,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds (Kiveris et al., 2014) until nothing
     changes. A node's minimum is pre-aggregated before the shuffle and joined
-    back, so a hub's edges never meet in one group. Every round is written to
+    back: no group collects a hub's edges, and its rows in the join are split by
+    adaptive execution (skewed joins). Every round is written to
     the shared folder; no list of edges or nodes reaches the driver.
     """
     edges = written(_distinct(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))), "edges")

@@ -71,6 +71,19 @@ def test_ordered_runs_are_bounded_and_ascend(spark, tmp_path):
     assert first.is_monotonic_increasing and len(first) > 5
 
 
+def test_documents_without_an_order_are_packed(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")  # not one numbered file each
+    few = docs.where("doc_id < 20")
+    twice = spark.read.parquet(f"{sf}/documents.parquet", f"{sf}/documents.parquet")
+    for frame in (docs, few, twice, docs.select("doc_id", "text")):
+        packed = corpus_pipeline.pack_sequences(spark, frame, "")
+        assert packed.where("start = 0").count() == frame.count()
+    few.repartition(3).write.parquet(f"file://{tmp_path}/few")
+    for frame in (spark.read.parquet(f"file://{tmp_path}/few"), spark.read.parquet(f"file://{tmp_path}/few").where("doc_id > 3").select("doc_id", "text")):
+        packed = corpus_pipeline.pack_sequences(spark, frame, "")
+        assert packed.where("start = 0").count() == frame.count()
+
+
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
 
