@@ -104,9 +104,10 @@ def qualify(leaves: DataFrame, groups: DataFrame, on: list[str], group: str, lea
 
 
 def extract_messages(spark, path: str, protocol: str = "xml", row_tag: str = "message") -> DataFrame:
-    """Message definitions of XML files: id, name and typed fields."""
+    """Message definitions of an XML file, or of all ``*.xml`` files under a
+    folder: id, name and typed fields."""
     schema = "_id int, _name string, field array<struct<_name:string,_type:string,_VALUE:string>>"
-    found = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+    found = spark.read.format("xml").option("rowTag", row_tag).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml").schema(schema).load(path)
     fields = F.transform(F.coalesce("field", F.array()), lambda f: F.struct(f["_name"].alias("name"), f["_type"].alias("type")))
     return found.select(F.lit(protocol).alias("protocol"), F.col("_id").alias("msg_id"), F.col("_name").alias("name"), fields.alias("fields"))
 

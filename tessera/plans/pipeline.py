@@ -143,9 +143,9 @@ def ingest(spark: SparkSession, root: str, snapshot: str, folder: str) -> None:
     plain = leaves.join(full.select("path", "leaf"), ["path", "leaf"], "left_anti").withColumn("full_name", F.col("leaf"))
     params = _stored(full.drop("group").unionByName(plain).select(stamp, "*"), f"{folder}/params")
     parsed = facts.parse_dsdl(files.where("kind = 'dsdl'")).where("msg_id is not null")
-    if store.exists(spark, f"{root}/**/*.xml") or store.exists(spark, f"{root}/*.xml"):
+    if store.exists(spark, root, "*.xml"):
         # Definitions in XML come first; others add what they lack.
-        xml = facts.extract_messages(spark, f"{root}/*.xml")
+        xml = facts.extract_messages(spark, root)
         parsed = facts.augment(xml, parsed, ["name"]).drop("origin")
     messages = _stored(parsed.select(stamp, "*"), f"{folder}/messages")
     facts.named_facts(params, symbols, messages, calls).write.mode("overwrite").parquet(f"{folder}/facts")
@@ -183,10 +183,11 @@ def open_index(spark: SparkSession, folder: str, options: Options = Options()) -
     return replace(index, vectors=vectors.select("doc_id", "domain", "embedding"))
 
 
-def build_all(spark: SparkSession, root: str, snapshot: str, folder: str, model: Callable | None = None, options: Options = Options()) -> None:
+def build_all(spark: SparkSession, root: str, snapshot: str, folder: str, model: Callable | None = None, options: Options = Options(), manifest: str | None = None) -> None:
     """The rebuild in order: files, facts, chunks, postings, vectors, and the
-    text table rewritten in files of bounded size."""
-    ingest(spark, root, snapshot, folder)
+    text table rewritten in files of bounded size. With a manifest, snapshot is
+    the corpus' name in it."""
+    ingest(spark, root, store.snapshot_of(spark, manifest, snapshot) if manifest else snapshot, folder)
     build_index(spark, folder, model, options)
     store.repack(spark, f"{folder}/lexical/texts", f"{folder}/texts_repacked")
 

@@ -38,10 +38,10 @@ def state_of(spark: SparkSession, path: str) -> tuple:
     return tuple(sorted(map(tuple, files.select(F.xxhash64("path", "modificationTime", "length").alias("x")).groupBy().agg(F.count("*"), F.bit_xor("x"), F.sum(F.shiftright("x", 20))).collect())))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a table with files at a path."""
+def exists(spark: SparkSession, path: str, names: str = "*") -> bool:
+    """Whether there are files (of such names) at or below a path."""
     try:
-        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").take(1))
+        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(path).select("path").take(1))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -81,6 +81,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.MANIFEST).option("mode", "FAILFAST").json(path)
 
 
+def snapshot_of(spark: SparkSession, manifest: str, name: str) -> str:
+    """What a manifest pins a corpus to."""
+    found = [r[0] for r in read_manifest(spark, manifest).where(F.col("name") == name).select("sha").distinct().take(2)]
+    if len(found) != 1:
+        raise ValueError(f"the manifest pins {name} {len(found)} times")
+    return found[0]
+
+
 def write_chunks(chunks: DataFrame, path: str) -> None:
     chunks.write.mode("overwrite").json(path)
 

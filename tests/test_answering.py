@@ -173,10 +173,14 @@ def test_rebuild_and_service(spark, tmp_path):
     (root / "ekf.cpp").write_text('#define LIMIT 3\nclass EK3 {\n  // @Param: HGT_DELAY\n  // @Range: 0 250\n  // @Units: ms\n  // @Default: 60\n};\nbool NavEKF3::healthy() {\n  return ok("}{");  // {\n}\nvoid run() {\n  NavEKF3::healthy();\n}\n')
     (root / "notes.md").write_text("# Filter\nThe height delay compensates late barometer samples in the filter.\n")
     (root / "341.NodeStatus.uavcan").write_text("uint32 uptime\n")
-    (root / "common.xml").write_text('<mavlink><messages><message id="0" name="HEARTBEAT"><field type="uint8_t" name="a"/></message></messages></mavlink>')
+    (root / "defs").mkdir()
+    (root / "defs" / "common.xml").write_text('<mavlink><messages><message id="0" name="HEARTBEAT"><field type="uint8_t" name="a"/></message></messages></mavlink>')
     folder = f"file://{tmp_path}/kb"
-    for _ in range(2):  # the second run embeds nothing new
-        build_all(spark, f"file://{root}", "sha1", folder)
+    (tmp_path / "manifest.json").write_text('{"name": "ekf", "url": "u", "sha": "sha1"}\n{"name": "other", "url": "u", "sha": "sha2"}\n')
+    build_all(spark, f"file://{root}", "sha1", folder)
+    build_all(spark, f"file://{root}", "ekf", folder, manifest=f"file://{tmp_path}/manifest.json")  # embeds nothing new
+    with pytest.raises(ValueError):
+        build_all(spark, f"file://{root}", "unknown", folder, manifest=f"file://{tmp_path}/manifest.json")
     t = lambda name: spark.read.parquet(f"{folder}/{name}")
     chunks = spark.read.json(f"{folder}/chunks")
     assert t("vectors").count() == chunks.count() == t("lexical/texts").count() == t("texts_repacked").count()
