@@ -11,8 +11,8 @@ the stream gives the time (0 to 1) at which the mix reaches that document. The
 documents are then range-sorted by that position.
 
 A running total over a whole source would put a hot source into one task. So
-each source is split by its first hash digits, as many as leave about
-``BUCKET_ROWS`` rows of a source that has them all: sums by bucket are
+each source is split by its first hash digits, as many as leave no more than
+about ``BUCKET_ROWS`` rows of a source that has them all: sums by bucket are
 pre-aggregated, their running totals need one row per source and bucket,
 and each bucket then counts on from its own offset.
 """
@@ -31,9 +31,10 @@ BUDGET_PERCENT = 150
 MOST_PASSES = 2
 #: Weight over time as (time, weight) knots, by the source's place, repeating.
 SCHEDULES = (((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)), ((0.0, 1.5), (1.0, 0.5)))
-#: Documents of one bucket, at most 16 times as many on average.
-BUCKET_ROWS = 1024
-#: Bytes of (source, bucket) rows that are broadcast, else joined.
+#: Documents of one bucket, at most, if all are of one source.
+BUCKET_ROWS = 4096
+#: Bytes of (source, bucket) rows that are broadcast, else joined; a row takes
+#: about 200 bytes.
 BROADCAST_BYTES = 32 << 20
 
 
@@ -98,7 +99,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     source, start = "mix_source", "mix_start"
     d = docs.select(F.col(id_col), *keep, F.col(source_col).cast("string").alias(source), word_count(F.col(text_col).cast("string")).alias("size"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.col(text_col).cast("string"), F.lit("")).cast("binary")).alias("mix_order"))
     d = written(d, "sized")
-    digits = max(0, (max(1, -(-d.count() // bucket_rows)) - 1).bit_length() // 4) + 1
+    digits = max(1, -(-(-(-d.count() // bucket_rows)).bit_length() // 4))
     d = d.withColumn("mix_bucket", F.left("mix_order", F.lit(digits)))
     sums = written(d.groupBy(source, "mix_bucket").agg(F.sum("size").alias("n")), "sums")
     goals = targets(sums.select(F.col(source).alias("source"), F.col("n").alias("size")), weights, budget_percent, most_passes)
@@ -106,7 +107,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     sums = sums.withColumn("mix_before", F.sum("n").over(upto) - F.col("n")).drop("n")
     known = sums.join(goals, F.col(source).eqNullSafe(goals["source"])).select(F.col(source).alias("s"), F.col("mix_bucket").alias("b"), "mix_before", "place", "source_size", "target")
     n, names = sums.agg(F.count("*"), F.sum(F.coalesce(F.octet_length(source), F.lit(0)))).first()
-    if 120 * n + 2 * (names or 0) <= BROADCAST_BYTES:
+    if 200 * n + 2 * (names or 0) <= BROADCAST_BYTES:
         known = F.broadcast(known)  # else each document would be shuffled twice
     within = Window.partitionBy(source, "mix_bucket").orderBy("mix_order", id_col, "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("mix_here", F.sum("size").over(within) - F.col("size"))
