@@ -168,6 +168,15 @@ def lexical_index_stats(spark: SparkSession, d: str) -> DataFrame:
     return indexing.domain_statistics(_index(spark, d))
 
 
+@query(f"WITH {TF} SELECT (SELECT count(*) FROM d) AS docs, count(*) AS postings, (sum(tf))::BIGINT AS words, count(DISTINCT term) AS terms FROM tf")
+def lexical_index_build(spark: SparkSession, d: str) -> DataFrame:
+    """Store a new index of ``documents`` and count what it holds."""
+    index = lexical.write(_docs(spark, d), store.work_folder(spark))
+    terms = index.postings.groupBy("term").agg(F.count("*").alias("n"), F.sum("tf").alias("tf"))
+    held = terms.agg(F.sum("n").alias("postings"), F.sum("tf").alias("words"), F.count("*").alias("terms"))
+    return index.sizes.agg(F.sum("docs").alias("docs")).crossJoin(held)  # one row each
+
+
 @query(f"WITH {DOCS}, {QUESTIONS}, {GOLD} SELECT qid, doc_id FROM gold")
 def gold_from_containment(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.gold_pairs(_questions(spark, d), _docs(spark, d))
