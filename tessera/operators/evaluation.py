@@ -6,21 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import normalised, tokens
+from tessera.operators.lexical import Index, opened
 
 
-def gold_pairs(questions: DataFrame, docs: DataFrame, qid: str = "item_id") -> DataFrame:
+def gold_pairs(questions: DataFrame, corpus: DataFrame | Index, qid: str = "item_id") -> DataFrame:
     """(qid, doc_id): documents that contain a question's words in order.
 
     Not a nested loop: each question is met only with documents that have its
     rarest word, then containment is verified."""
+    index = opened(corpus)
     q = questions.select(F.col(qid).alias("qid"), normalised(F.col("text")).alias("needle"), F.array_distinct(tokens(F.col("text"))).alias("words"))
     asked = q.select("qid", F.explode("words").alias("term"))
-    d = docs.select("doc_id", F.explode_outer(F.array_distinct(tokens(F.col("text")))).alias("term")).join(asked.select("term").distinct(), "term", "left_semi")
+    d = index.postings.select("term", "doc_id").join(asked.select("term").distinct(), "term", "left_semi")
     df = d.groupBy("term").agg(F.count("*").alias("df"))
     rare = asked.join(df, "term", "left").groupBy("qid").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")).alias("r")).where("r.df > 0")
     near = rare.select("qid", F.col("r.term").alias("term")).join(d, "term").select("qid", "doc_id")
-    text = docs.select("doc_id", normalised(F.col("text")).alias("hay"))
-    return near.join(q.select("qid", "needle"), "qid").join(text, "doc_id").where(F.contains("hay", "needle")).select("qid", "doc_id")
+    # Only texts that have a rare word are put in normal form.
+    met = near.join(q.select("qid", "needle"), "qid").join(index.texts.select("doc_id", "text"), "doc_id")
+    return met.where(F.contains(normalised(F.col("text")), F.col("needle"))).select("qid", "doc_id")
 
 
 def outcomes(questions: DataFrame, gold: DataFrame, top: DataFrame, answered: DataFrame, qid: str = "item_id") -> DataFrame:

@@ -179,7 +179,7 @@ def lexical_index_build(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {DOCS}, {QUESTIONS}, {GOLD} SELECT qid, doc_id FROM gold")
 def gold_from_containment(spark: SparkSession, d: str) -> DataFrame:
-    return evaluation.gold_pairs(_questions(spark, d), _docs(spark, d))
+    return evaluation.gold_pairs(_questions(spark, d), _index(spark, d))
 
 
 _STRIP = [r"(?s)<script[^>]*>.*?</script>", r"(?s)<style[^>]*>.*?</style>", r"(?s)<nav[^>]*>.*?</nav>", r"(?s)<!--.*?-->", r'(?s)<div class="ad">.*?</div>', r"(?s)<head>.*?</head>"]
@@ -482,8 +482,8 @@ OUTCOMES = f"{GATED}, {GOLD}, o AS (SELECT q.qid, q.qid IN (SELECT qid FROM gold
 
 
 def _outcomes(spark, d) -> DataFrame:
-    q, docs = _questions(spark, d), _docs(spark, d)
-    return evaluation.outcomes(q, evaluation.gold_pairs(q, docs), _top(spark, d), _gated(spark, d))
+    q = _questions(spark, d)
+    return evaluation.outcomes(q, evaluation.gold_pairs(q, _index(spark, d)), _top(spark, d), _gated(spark, d))
 
 
 @query(f"{OUTCOMES} SELECT coalesce(type, 'all') AS type, count(*) AS n, count(*) FILTER (correct) AS n_correct, round(avg(correct::INT::DOUBLE), 6) AS accuracy FROM oc GROUP BY ROLLUP (type)")
@@ -493,8 +493,7 @@ def eval_accuracy_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"{BM25}, {GOLD}, b AS (SELECT qid, min(rk) AS rk FROM gold LEFT JOIN top USING (qid, doc_id) GROUP BY qid) SELECT k::INT AS k, count(*) AS n, count(*) FILTER (rk <= k) AS hits, round(count(*) FILTER (rk <= k) / count(*)::DOUBLE, 6) AS recall FROM b CROSS JOIN (SELECT unnest([1, 5, 10]) AS k) GROUP BY k")
 def eval_recall_at_k(spark: SparkSession, d: str) -> DataFrame:
-    q, docs = _questions(spark, d), _docs(spark, d)
-    return evaluation.recall_at(evaluation.gold_pairs(q, docs), _top(spark, d))
+    return evaluation.recall_at(evaluation.gold_pairs(_questions(spark, d), _index(spark, d)), _top(spark, d))
 
 
 @query("SELECT item_id AS qid, CASE WHEN item_id % 2 = 0 THEN 'tunable' ELSE 'heldout' END AS split FROM benchmark")
@@ -505,8 +504,8 @@ def gold_split(spark: SparkSession, d: str) -> DataFrame:
 @query(f"{OUTCOMES}, base AS (SELECT qid, CASE WHEN can THEN hit ELSE false END AS correct FROM o) SELECT CASE WHEN a.correct IS NOT DISTINCT FROM b.correct THEN 'same' WHEN coalesce(b.correct, false) THEN 'better' ELSE 'worse' END AS change, count(*) AS n FROM base a FULL JOIN oc b USING (qid) GROUP BY 1")
 def eval_delta(spark: SparkSession, d: str) -> DataFrame:
     """What the gate changes against answering everything."""
-    q, docs, top = _questions(spark, d), _docs(spark, d), _top(spark, d)
-    gold = evaluation.gold_pairs(q, docs)
+    q, top = _questions(spark, d), _top(spark, d)
+    gold = evaluation.gold_pairs(q, _index(spark, d))
     everything = evaluation.outcomes(q, gold, top, q.select(F.col("item_id").alias("qid")))
     return evaluation.delta(everything, _outcomes(spark, d))
 

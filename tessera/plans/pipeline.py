@@ -202,4 +202,4 @@ def evaluate(questions: DataFrame, docs: DataFrame, options: Options = Options()
     index = index or lexical.of(docs)
     top = retrieval.bm25_topk(questions, index, options.top_k, k1=options.k1, b=options.b)
     kept = retrieval.gate(retrieval.rerank(top, questions, index.texts, reranker), options.rerank_min)
-    return evaluation.accuracy(evaluation.outcomes(questions, evaluation.gold_pairs(questions, docs), top, kept))
+    return evaluation.accuracy(evaluation.outcomes(questions, evaluation.gold_pairs(questions, index), top, kept))
