@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 import zlib
@@ -75,6 +76,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def trim() -> None:
+    """Give freed memory back to the system, where the C library can: workers
+    are used again, and what one stage freed would count beside the next's."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def released(shared: Broadcast) -> None:
     """Let a worker forget a broadcast value; it is read from the executor's
     copy again when it is next asked for."""
@@ -130,6 +140,7 @@ def bounded(batches: Iterable[pa.RecordBatch], column: int, most: int = BATCH_BY
         sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy() + most // rows
         for start, end in size_runs(sizes.tolist(), most):
             yield batch.slice(start, end - start)
+        trim()
 
 
 def text_runs(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
