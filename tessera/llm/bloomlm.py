@@ -294,31 +294,35 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
 
     def looked_up(keys: np.ndarray, prev: np.ndarray) -> np.ndarray:
         """[3, token]: counts of the token and the one before, level of the pair."""
-        found = np.zeros((3, len(keys)), np.int64)
-        for part in parts:
-            for at in range(0, len(keys), step_tokens):
-                span = slice(at, at + step_tokens)
-                key, old = keys[span], prev[span]
-                distinct, inverse = np.unique(np.r_[key, old].view(np.int64), return_inverse=True)
-                c = part.value.unigram(distinct.view(np.uint64))[inverse]
-                found[0, span] += c[: len(key)]
-                found[1, span] += c[len(key) :]
-                # With one shard, pairs with an unknown word need no probe.
-                ask = np.flatnonzero((found[0, span] > 0) & (found[1, span] > 0)) if shards == 1 else np.arange(len(key))
-                found[2, at + ask] += part.value.level(bigrams(old[ask], key[ask]))
-            if shards > 1:
-                released(part)
-        return found
+        distinct, inverse = np.unique(np.r_[keys, prev].view(np.int64), return_inverse=True)
+        counts, pairs, level = np.zeros(len(distinct), np.int64), bigrams(prev, keys), np.zeros(len(keys), np.int64)
+        if shards == 1:
+            counts = parts[0].value.unigram(distinct.view(np.uint64))
+            word, last = counts[inverse[: len(keys)]], counts[inverse[len(keys) :]]
+            ask = np.flatnonzero((word > 0) & (last > 0))  # other pairs need no probe
+            level[ask] = parts[0].value.level(pairs[ask])
+            return np.stack([word, last, level])
+        # Each key is asked of its own shard only.
+        own, of = (distinct >> shift) % shards, ((pairs.view(np.int64) >> shift) % shards).astype(np.uint16)
+        order = np.argsort(of, kind="stable")
+        cut = np.searchsorted(of[order], np.arange(shards + 1))
+        for k, part in enumerate(parts):
+            mine, at = np.flatnonzero(own == k), order[cut[k] : cut[k + 1]]
+            counts[mine] = part.value.unigram(distinct[mine].view(np.uint64))
+            level[at] = part.value.level(pairs[at])
+            released(part)
+        return np.stack([counts[inverse[: len(keys)]], counts[inverse[len(keys) :]], level])
 
     def run(batches):
-        for batch in bounded(batches, 1, most=BATCH_BYTES if shards == 1 else 4 * BATCH_BYTES):
+        for batch in bounded(batches, 1, most=BATCH_BYTES if shards == 1 else 8 * held_tokens):
             texts = batch.column(1).to_pylist()
-            for a, b in text_runs(texts, 4 * held_tokens if shards > 1 else CHARS):
+            for a, b in text_runs(texts, 8 * held_tokens if shards > 1 else CHARS):
                 keys, sizes = tokens_of(texts[a:b])
                 prev, owner = before(keys, sizes), np.repeat(np.arange(b - a, dtype=np.int32), sizes)
                 known, totals = np.zeros(b - a, np.int64), np.zeros((2, b - a))
-                for at in range(0, len(keys), held_tokens):
-                    found = looked_up(keys[at : at + held_tokens], prev[at : at + held_tokens])
+                held = held_tokens if shards > 1 else step_tokens
+                for at in range(0, len(keys), held):
+                    found = looked_up(keys[at : at + held], prev[at : at + held])
                     for lo in range(0, found.shape[1], step_tokens):
                         own, (word, last, level) = owner[at + lo : at + lo + step_tokens], found[:, lo : lo + step_tokens]
                         own = own[: len(word)]
