@@ -39,13 +39,13 @@ RANGE_KEYS = 1 << 18
 #: worker of an executor has its own copy.
 SHARD_BYTES = 48 << 20
 #: Tokens whose counts are collected over the shards, and scored together.
-HELD_TOKENS = 1 << 20
+HELD_TOKENS = 1 << 19
 STEP_TOKENS = 1 << 18
 #: Bytes hashed at once.
 WINDOW = 1 << 20
 #: Characters of texts that are taken together, and tokens pre-aggregated together.
 CHARS = 1 << 20
-TOKENS = 1 << 21
+TOKENS = 1 << 20
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
