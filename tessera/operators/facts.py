@@ -126,8 +126,9 @@ def lookup(requests: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     return requests.select(key).distinct().join(facts, key)
 
 
-#: A name of code or of a parameter: words joined by colons, dots or arrows.
-NAME = r"[A-Za-z_~]\w*(?:(?:::|\.|->)[A-Za-z_~]\w*)*"
+#: A name of code or of a parameter: whole words (of the letters and digits that
+#: ``tokens`` has, so never a piece of one) joined by colons, dots or arrows.
+NAME = r"(?:~|(?<![\p{L}\p{N}_])[\p{L}_])[\p{L}\p{N}_]*(?:(?:::|\.|->)[\p{L}_~][\p{L}\p{N}_]*)*"
 
 
 def mentions(questions: DataFrame, names: DataFrame, id_col: str = "item_id", text_col: str = "text", name: str = "name") -> DataFrame:
@@ -135,7 +136,7 @@ def mentions(questions: DataFrame, names: DataFrame, id_col: str = "item_id", te
     (``Type::member``), in upper or lower case: an equi-join on what is folded.
     The name is returned as the facts have it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    said = F.array_distinct(F.concat(tokens(text), F.transform(F.regexp_extract_all(text, F.lit(NAME), 0), lambda w: F.lower(w))))
+    said = F.array_distinct(F.concat(tokens(text), F.regexp_extract_all(F.lower(text), F.lit(NAME), 0)))
     words = questions.select(id_col, F.explode(said).alias("_said"))
     return words.join(names, F.col("_said") == F.lower(names[name])).drop("_said")
 

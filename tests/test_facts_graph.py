@@ -97,3 +97,10 @@ def test_build_all(spark, tmp_path):
     n = spark.read.parquet(f"{out}/vectors").count()
     build_index(spark, out)
     assert n >= 4 and spark.read.parquet(f"{out}/vectors").count() == n
+
+
+def test_a_piece_of_a_word_is_no_mention(spark):
+    names = spark.createDataFrame([("mentch",), ("Größe::wert",), ("Filter::healthy",)], "name string")
+    asked = [(1, "wörmentch"), (2, "3mentch, 漢mentch"), (3, "mentchö"), (4, "ö.mentch"), (5, "größe::Wert?"), (6, "~Filter, xFilter::healthy"), (7, "(filter::HEALTHY)"), (8, "ömentch.x")]
+    got = facts.mentions(spark.createDataFrame(asked, "item_id int, text string"), names).collect()
+    assert sorted((r.item_id, r.name) for r in got) == [(4, "mentch"), (5, "Größe::wert"), (7, "Filter::healthy")]
