@@ -1,5 +1,7 @@
 """Every query with SQL against DuckDB; the others must run."""
 
+import os
+
 import pytest
 
 import __spark_entry__
@@ -22,3 +24,23 @@ def test_query(spark, sf, name):
 
 def test_entry_has_rows(spark):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def agrees_on_pieces(spark, sf, folder, name):
+    """The query and its SQL agree where a question only ends like a document's
+    first word, behind a letter that is not ASCII or a digit."""
+    for t in os.listdir(sf):
+        if t not in ("documents.parquet", "benchmark.parquet"):
+            os.symlink(f"{sf}/{t}", folder / t)
+    docs = [(1, "mentch alpha beta"), (2, "strand gamma delta")]
+    asked = [(1, "wörmentch"), (2, "3mentch zeta"), (3, "Who saw a mentch?"), (4, "gamma strandö"), (5, None)]
+    spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(asked, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    found = __spark_entry__.queries()[name](spark, str(folder)).toPandas()
+    assert rows(found) == rows(duck(__spark_entry__.oracle_sql()[name], str(folder)))
+    return found
+
+
+def test_a_piece_of_a_word_is_not_answered_directly(spark, sf, tmp_path):
+    found = agrees_on_pieces(spark, sf, tmp_path, "direct_vs_retrieve_split")
+    assert found.set_index("item_id")["path"].to_dict() == {3: "direct"} | dict.fromkeys((1, 2, 4, 5), "retrieve")
