@@ -44,3 +44,8 @@ def agrees_on_pieces(spark, sf, folder, name):
 def test_a_piece_of_a_word_is_not_answered_directly(spark, sf, tmp_path):
     found = agrees_on_pieces(spark, sf, tmp_path, "direct_vs_retrieve_split")
     assert found.set_index("item_id")["path"].to_dict() == {3: "direct"} | dict.fromkeys((1, 2, 4, 5), "retrieve")
+
+
+def test_a_piece_of_a_word_gives_no_direct_mode(spark, sf, tmp_path):
+    found = agrees_on_pieces(spark, sf, tmp_path, "answer_modes")
+    assert found.set_index("qid")["mode"].to_dict() == {3: "direct"} | dict.fromkeys((1, 2, 4, 5), "refused")
