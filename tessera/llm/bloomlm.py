@@ -11,22 +11,29 @@ for (key, 1), (key, 2), ... until one is missing; a bigram with an unknown word
 is not probed, and no count exceeds those of its words. The smoothed
 probability of w after v is (count(v w) + K * base(w)) / (count(v) + K).
 
-What a worker holds is bounded: beyond ``SHARD_BYTES`` of tables and filters the
-ranges are divided into several broadcasts. A worker collects texts of about
-``HELD_TOKENS`` tokens, asks one shard after another for the counts that it
-knows, forgetting each before the next, and then scores; so there is one pass
-over the texts whatever the number of shards, with the same results. Long texts
-are scored ``STEP_TOKENS`` at a time. Words are told apart by 64-bit hashes.
+What is held is bounded: beyond ``SHARD_BYTES`` of tables and filters the ranges
+are divided into several broadcasts, so the driver makes one at a time. A worker
+maps the files in which its executor keeps them instead of reading them: the
+executor's workers share the pages, and only those that are asked for are
+touched. Each key is asked of its own shard, so there is one pass over the texts
+whatever the number of shards, with the same results, and the model is never
+read again for the next texts. Long texts are looked up ``HELD_TOKENS`` and
+scored ``STEP_TOKENS`` at a time. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import mmap
+import pickle
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.serializers import pickle_protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BATCH_BYTES, bounded, fold, released, table, text_runs, written
+from tessera.llm.common import bounded, fold, table, text_runs, written
 
 BASE = 1.5
 HASHES = 4
@@ -35,11 +42,12 @@ BITS_PER_EVENT = 8
 PRIOR = 300.0
 #: Keys of one range, about.
 RANGE_KEYS = 1 << 18
-#: Bytes of unigram tables and filters in one broadcast, about. Every Python
-#: worker of an executor has its own copy.
+#: Bytes of unigram tables and filters in one broadcast, about.
 SHARD_BYTES = 48 << 20
-#: Tokens whose counts are collected over the shards, and scored together.
-HELD_TOKENS = 1 << 19
+#: Bytes of them that the driver fetches at once, about.
+FETCHED = 4 << 20
+#: Tokens whose counts are looked up in all shards together.
+HELD_TOKENS = 1 << 18
 STEP_TOKENS = 1 << 18
 #: Bytes hashed at once.
 WINDOW = 1 << 20
@@ -52,6 +60,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
+#: Begins a packed shard. Before it as many bytes as make its arrays lie at
+#: multiples of eight in the file of a broadcast, behind the head of a pickle.
+_MARK = b"tessera\0ranges\0\0"
+_LEAST = 1 << 17
+_PAD = bytes(-pickle.dumps(_MARK + bytes(_LEAST), pickle_protocol).find(_MARK) % 8)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -180,6 +193,26 @@ class Ranges:
         self.size = np.array([len(r[3]) for r in rows], np.int64)
         self.start = np.cumsum(self.size) - self.size
 
+    def packed(self) -> bytes:
+        """All arrays in one buffer, for ``of``."""
+        arrays = [self.known, self.size, self.words, self.counts, self.bits]
+        head = np.array([self.shift, *map(len, arrays)], np.int64)
+        return b"".join([_PAD, _MARK, *(x.view(np.uint8).data for x in (head, *arrays)), bytes(_LEAST)])
+
+    @classmethod
+    def of(cls, raw) -> Ranges:
+        """The ranges of a buffer that holds a packed shard near its beginning,
+        as views of it."""
+        made, at = cls.__new__(cls), raw.find(_MARK, 0, 1 << 10) + len(_MARK)
+        head = np.frombuffer(raw, np.int64, 6, at)
+        made.shift, at = int(head[0]), at + head.nbytes
+        for name, n in zip(("known", "size", "words", "counts", "bits"), head[1:].tolist()):
+            array = np.frombuffer(raw, np.uint8 if name == "bits" else np.int64, n, at)
+            setattr(made, name, array)
+            at += array.nbytes
+        made.start = np.cumsum(made.size) - made.size
+        return made
+
     def unigram(self, keys: np.ndarray) -> np.ndarray:
         """Exact counts; 0 for words of other ranges too. keys ascend (signed)."""
         at = np.minimum(np.searchsorted(self.words, keys.view(np.int64)), max(0, len(self.words) - 1))
@@ -207,6 +240,15 @@ class Ranges:
         return q
 
 
+def opened(shared: Broadcast) -> Ranges:
+    """A broadcast packed shard, mapped from the executor's file of it. Without
+    such a file (Spark sends broadcasts that it encrypts) it is the value's."""
+    if not hasattr(shared, "_path"):
+        return Ranges.of(shared.value)
+    with open(shared._path, "rb") as f:
+        return Ranges.of(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+
+
 # ------------------------------------------------------------------ Spark
 
 
@@ -272,6 +314,29 @@ def count_ranges(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
     return written(built, "ranges"), shift
 
 
+def broadcast_shards(ranges: DataFrame, shift: int, size: int, shard_bytes: int) -> tuple[list[Broadcast], list[np.ndarray]]:
+    """Shards of about ``shard_bytes``, and the ranges that each has, from one
+    reading of the table of ``size`` bytes: ranges join a shard as they come."""
+    parts, spans, held, n = [], [], [], 0
+
+    def share():
+        made = Ranges(held, shift)
+        held.clear()
+        parts.append(ranges.sparkSession.sparkContext.broadcast(made.packed()))
+        spans.append(made.known)
+
+    rows = ranges.select("span", "words", "counts", "filter").coalesce(max(1, -(-size // FETCHED)))
+    for span, *arrays in rows.toLocalIterator():  # the driver holds one shard at a time
+        held.append((span, *map(bytes, arrays)))
+        n += sum(map(len, arrays))
+        if n >= shard_bytes:
+            share()
+            n = 0
+    if held or not parts:
+        share()
+    return parts, spans
+
+
 def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, prior: float = PRIOR, shard_bytes: int = SHARD_BYTES, held_tokens: int = HELD_TOKENS, step_tokens: int = STEP_TOKENS) -> DataFrame:
     """Score every text of ``docs`` by counts of ``train``.
 
@@ -284,45 +349,48 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
     """
     spark = docs.sparkSession
     ranges, shift = count_ranges(train, text_col)
-    n, v, size, most = (int(x or 0) for x in ranges.agg(F.sum("tokens"), F.sum("types"), F.sum(F.octet_length("words") + F.octet_length("counts") + F.octet_length("filter")), F.count("span")).first())
-    shards = max(1, min(most, -(-size // shard_bytes)))
-    parts = []
-    for k in range(shards):  # the driver holds one shard at a time
-        rows = ranges.where(F.pmod(F.col("span"), F.lit(shards)) == k).select("span", "words", "counts", "filter").toLocalIterator()
-        parts.append(spark.sparkContext.broadcast(Ranges([(r[0], bytes(r[1]), bytes(r[2]), bytes(r[3])) for r in rows], shift)))
+    n, v, size = (int(x or 0) for x in ranges.agg(F.sum("tokens"), F.sum("types"), F.sum(F.octet_length("words") + F.octet_length("counts") + F.octet_length("filter"))).first())
+    parts, spans = broadcast_shards(ranges, shift, size, shard_bytes)
+    shards = len(parts)
+    owner, half = np.zeros(1 << 64 - shift, np.uint16), 1 << 63 - shift  # two bytes for each range
+    for k, own in enumerate(spans):
+        owner[own + half] = k
+    place = spark.sparkContext.broadcast(owner)
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def looked_up(keys: np.ndarray, prev: np.ndarray) -> np.ndarray:
-        """[3, token]: counts of the token and the one before, level of the pair."""
-        distinct, inverse = np.unique(np.r_[keys, prev].view(np.int64), return_inverse=True)
-        counts, pairs, level = np.zeros(len(distinct), np.int64), bigrams(prev, keys), np.zeros(len(keys), np.int64)
+    def dealt(keys: np.ndarray):
+        """Each shard and where its own keys are, in their order."""
         if shards == 1:
-            counts = parts[0].value.unigram(distinct.view(np.uint64))
-            word, last = counts[inverse[: len(keys)]], counts[inverse[len(keys) :]]
-            ask = np.flatnonzero((word > 0) & (last > 0))  # other pairs need no probe
-            level[ask] = parts[0].value.level(pairs[ask])
-            return np.stack([word, last, level])
-        # Each key is asked of its own shard only.
-        own, of = (distinct >> shift) % shards, ((pairs.view(np.int64) >> shift) % shards).astype(np.uint16)
+            return [(0, slice(None))]
+        of = place.value[(keys >> shift) + half]
         order = np.argsort(of, kind="stable")
-        cut = np.searchsorted(of[order], np.arange(shards + 1))
-        for k, part in enumerate(parts):
-            mine, at = np.flatnonzero(own == k), order[cut[k] : cut[k + 1]]
-            counts[mine] = part.value.unigram(distinct[mine].view(np.uint64))
-            level[at] = part.value.level(pairs[at])
-            released(part)
-        return np.stack([counts[inverse[: len(keys)]], counts[inverse[len(keys) :]], level])
+        return enumerate(np.split(order, np.searchsorted(of[order], np.arange(1, shards))))
+
+    def looked_up(models: list[Ranges], keys: np.ndarray, prev: np.ndarray) -> np.ndarray:
+        """[3, token]: counts of the token and the one before, level of the pair."""
+        distinct, inverse = np.unique(np.r_[keys, prev[:1], START].view(np.int64), return_inverse=True)
+        counts = np.zeros(len(distinct), np.int64)
+        for k, mine in dealt(distinct):  # each key is asked of its own shard only
+            counts[mine] = models[k].unigram(distinct[mine].view(np.uint64))
+        word, first, start = counts[inverse[:-2]], *counts[inverse[-2:]]
+        last = np.where(prev == START, start, np.r_[first, word[:-1]])  # the one before is the last token, or none
+        level = np.zeros(len(keys), np.int64)
+        ask = np.flatnonzero((word > 0) & (last > 0))  # other pairs need no probe
+        pairs = bigrams(prev[ask], keys[ask])
+        for k, mine in dealt(pairs.view(np.int64)):
+            level[ask[mine]] = models[k].level(pairs[mine])
+        return np.stack([word, last, level])
 
     def run(batches):
-        for batch in bounded(batches, 1, most=BATCH_BYTES if shards == 1 else 8 * held_tokens):
+        models = [opened(part) for part in parts]
+        for batch in bounded(batches, 1):
             texts = batch.column(1).to_pylist()
-            for a, b in text_runs(texts, 8 * held_tokens if shards > 1 else CHARS):
+            for a, b in text_runs(texts, CHARS):
                 keys, sizes = tokens_of(texts[a:b])
                 prev, owner = before(keys, sizes), np.repeat(np.arange(b - a, dtype=np.int32), sizes)
                 known, totals = np.zeros(b - a, np.int64), np.zeros((2, b - a))
-                held = held_tokens if shards > 1 else step_tokens
-                for at in range(0, len(keys), held):
-                    found = looked_up(keys[at : at + held], prev[at : at + held])
+                for at in range(0, len(keys), held_tokens):
+                    found = looked_up(models, keys[at : at + held_tokens], prev[at : at + held_tokens])
                     for lo in range(0, found.shape[1], step_tokens):
                         own, (word, last, level) = owner[at + lo : at + lo + step_tokens], found[:, lo : lo + step_tokens]
                         own = own[: len(word)]

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -165,6 +166,45 @@ def test_shards_give_the_same(make_docs, monkeypatch):
         assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], rtol=1e-12)
 
 
+def test_workers_map_the_model(spark):
+    """A worker doesn't read a broadcast shard: neither once for each part of
+    the texts, nor at all."""
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 62, 3000)) * 2
+    rows = [(0, keys.tobytes(), np.arange(len(keys)).tobytes(), bloomlm.make_filter(keys.astype(np.uint64) | np.uint64(1), np.full(len(keys), 3)).tobytes())]
+    shared, whole = spark.sparkContext.broadcast(bloomlm.Ranges(rows, 63).packed()), bloomlm.Ranges(rows, 63)
+
+    def run(batches):
+        for batch in batches:
+            model = bloomlm.opened(shared)
+            base = model.words
+            while isinstance(base, np.ndarray):
+                base = base.base
+            mapped = "mmap" in repr(getattr(base, "obj", base)) and model.words.flags.aligned and not hasattr(shared, "_value")
+            ask = model.words.view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array([mapped]), pa.array([model.unigram(ask).tolist()]), pa.array([model.level(ask | np.uint64(1)).tolist()])], ["mapped", "counts", "levels"])
+
+    got = spark.range(1).repartition(1).mapInArrow(run, "mapped boolean, counts array<long>, levels array<long>").first()
+    assert got.mapped and got.counts == list(range(len(keys)))
+    assert got.levels == whole.level(keys.astype(np.uint64) | np.uint64(1)).tolist() and min(got.levels) > 0
+    assert bloomlm.Ranges.of(bloomlm.Ranges([], 63).packed()).unigram(keys[:3].view(np.uint64)).tolist() == [0, 0, 0]
+
+
+def test_the_model_is_read_once(make_docs, spark, monkeypatch):
+    """Jobs don't multiply with the shards of the model."""
+    monkeypatch.setattr(bloomlm, "RANGE_KEYS", 512)
+    docs = make_docs([(i, " ".join(random.Random(i).choices([f"w{k}" for k in range(500)], k=200))) for i in range(60)])
+    ranges, shift = bloomlm.count_ranges(docs, "text")
+    n, size = ranges.agg({"span": "count"}).first()[0], sum(len(r.words) + len(r.counts) + len(r["filter"]) for r in ranges.collect())
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for shard_bytes in (1 << 30, 1):
+        spark.sparkContext.setJobGroup(f"shards {shard_bytes}", "")
+        parts, spans = bloomlm.broadcast_shards(ranges, shift, size, shard_bytes)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append((len(parts), len(tracker.getJobIdsForGroup(f"shards {shard_bytes}"))))
+        assert sorted(np.concatenate(spans).tolist()) == sorted(r.span for r in ranges.collect())
+    assert [k for k, _ in jobs] == [1, n] and n > 8 and jobs[0][1] == jobs[1][1]
+
+
 def test_filter_has_no_false_negatives():
     rng = np.random.default_rng(0)
     keys, counts = rng.integers(0, 1 << 62, 5000).astype(np.uint64) | np.uint64(1), rng.integers(1, 500, 5000)
