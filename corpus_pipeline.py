@@ -12,8 +12,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, mixing, neardup, packing, quality
-from tessera.llm.common import fold, table, work_folder
+from tessera.llm import langid, mixing, neardup, packing, quality, simhash
+from tessera.llm.common import fold, table, work_folder, written
+from tessera.llm.components import components
 
 #: Documents whose language is less likely than this are rejected.
 LANGUAGE_SCORE = 0.5
@@ -36,16 +37,27 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates (chains of texts that
-    share 4/5 of their five-word shingles): the one with the smallest id (null
-    ids last), then with the least hash of its text. Rows that repeat id and
-    text are one document."""
+    """Keep one document of each group of near duplicates: the one with the
+    smallest id (null ids last), then with the least hash of its text. Rows that
+    repeat id and text are one document.
+
+    Groups are chains of two kinds of links: SimHash fingerprints at three bits
+    or fewer, by pivot distance tables, and texts that share 4/5 of their
+    five-word shingles, whose fingerprints mostly lie farther apart."""
     key = {"near_null": F.col("doc_id").isNull(), "near_id": F.coalesce("doc_id", F.lit(0)), "near_text": F.xxhash64("text")}
     marked = docs.withColumns(key)
-    groups = neardup.near_duplicates(docs.withColumn("near_row", F.struct(*(c.alias(k) for k, c in key.items()))), "near_row")
-    kept = groups.where(F.col("near_row") == F.col("component_id")).select("near_row.*").distinct()
+    rows = docs.select(F.struct(*(c.alias(k) for k, c in key.items())).alias("near_row"), "text")
+    found = [groups.near_duplicates(rows, "near_row").select("near_row", "component_id") for groups in (simhash, neardup)]
+    # Each document that isn't its group's first, and the first; both kinds of groups meet in their documents.
+    later = written(found[0].unionByName(found[1]).where("near_row != component_id").distinct(), "later")
+    node = {"a": F.xxhash64("near_row"), "b": F.xxhash64("component_id")}
+    roots = components(later.select(*(c.alias(k) for k, c in node.items())))
+    ends = later.select(F.explode(F.array("near_row", "component_id")).alias("near_row")).distinct()
+    rooted = ends.join(roots, F.xxhash64("near_row") == F.col("node")).select("near_row", "root")
+    first = rooted.groupBy("root").agg(F.min("near_row").alias("near_row"))
+    dropped = ends.join(first, "near_row", "left_anti").select("near_row.*")  # no join by a large group's root
     # Both by the same key, so the texts are shuffled once.
-    return marked.join(kept, list(key)).dropDuplicates(list(key)).select(docs.columns)
+    return marked.join(dropped, list(key), "left_anti").dropDuplicates(list(key)).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

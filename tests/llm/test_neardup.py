@@ -58,3 +58,15 @@ def test_stage_drops_near_copies(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, f"file://{tmp_path}")
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in groups(rows)})
+
+
+def test_stage_links_by_fingerprints_and_by_shingles(spark):
+    """One word of a long repetition is new every time: the fingerprints are
+    near, the shingles differ. A third text joins by its shingles."""
+    base = ["alpha", "beta", "gamma", "delta", "epsilon"] * 200
+    first, second = base + WORDS[:60], base + WORDS[100:160]
+    rows = [(3, " ".join(first)), (1, " ".join(second)), (2, " ".join(second + WORDS[200:203])), (4, " ".join(WORDS[300:390]))]
+    fps = {i: simhash.fingerprint(t) for i, t in rows}
+    assert bin(fps[3] ^ fps[1]).count("1") <= 3 and len(shingles(rows[0][1]) & shingles(rows[1][1])) * 5 < 4 * len(shingles(rows[0][1]) | shingles(rows[1][1]))
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == [1, 4]
