@@ -304,6 +304,33 @@ def test_blocks_below_the_threshold_are_skipped(monkeypatch):
     assert scored < seen / 5
 
 
+def test_memory_does_not_grow_with_the_queries(monkeypatch):
+    """What a shard holds for the terms of a block's queries is bounded, and the
+    queries' parts give the same results."""
+    import tracemalloc
+
+    r = random.Random(3)
+    words = [f"w{k}" for k in range(2000)]
+    docs = [(i, " ".join(r.choices(words, k=60))) for i in range(40)]
+    keys, sizes = search.tokens_of([t for _, t in docs])
+    shard = search.build_shard(np.array([i for i, _ in docs]), keys, sizes, 60.0)
+    known = np.unique(keys[keys != search.END])
+    rng = np.random.default_rng(4)
+    asked = [(i, np.sort(rng.choice(known, rng.integers(300, 1000), replace=False))) for i in range(3000)]
+    queries = search.gathered([(i, k, np.full(len(k), 2)) for i, k in asked], len(docs))
+    found = []
+    for part in (search.PART_TERMS, 5000):
+        monkeypatch.setattr(search, "PART_TERMS", part)
+        best = search.Best(len(asked), 5)
+        tracemalloc.start()
+        search.search_shard(shard, queries, best)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 12 * len(queries.term), peak / len(queries.term)
+        found.append([x.tolist() for x in best.rows()])
+    assert found[0] == found[1] and len(queries.term) > 1_500_000
+
+
 def test_search_edge_cases(edge, make_docs):
     q = make_docs([(1, "Alpha"), (2, None), (None, "alpha"), (3, "word"), (1, "beta")])
     got = [(r.query_id, r["rank"], r.doc_id) for r in search.top_k(edge, q).collect()]
