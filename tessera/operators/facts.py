@@ -127,8 +127,10 @@ def lookup(requests: DataFrame, facts: DataFrame, key: str) -> DataFrame:
 
 
 #: A name of code or of a parameter: whole words (of the letters and digits that
-#: ``tokens`` has, so never a piece of one) joined by colons, dots or arrows.
-NAME = r"(?:~|(?<![\p{L}\p{N}_])[\p{L}_])[\p{L}\p{N}_]*(?:(?:::|\.|->)[\p{L}_~][\p{L}\p{N}_]*)*"
+#: ``tokens`` has) joined by colons, dots or arrows. A word that begins with a
+#: digit is taken whole too, so that no piece of it is left: a look behind would
+#: see but half of a character beyond U+FFFF.
+NAME = r"[\p{L}_~][\p{L}\p{N}_]*(?:(?:::|\.|->)[\p{L}_~][\p{L}\p{N}_]*)*|\p{N}[\p{L}\p{N}_]*"
 
 
 def mentions(questions: DataFrame, names: DataFrame, id_col: str = "item_id", text_col: str = "text", name: str = "name") -> DataFrame:

@@ -104,3 +104,10 @@ def test_a_piece_of_a_word_is_no_mention(spark):
     asked = [(1, "wörmentch"), (2, "3mentch, 漢mentch"), (3, "mentchö"), (4, "ö.mentch"), (5, "größe::Wert?"), (6, "~Filter, xFilter::healthy"), (7, "(filter::HEALTHY)"), (8, "ömentch.x")]
     got = facts.mentions(spark.createDataFrame(asked, "item_id int, text string"), names).collect()
     assert sorted((r.item_id, r.name) for r in got) == [(4, "mentch"), (5, "Größe::wert"), (7, "Filter::healthy")]
+
+
+def test_a_piece_behind_a_wide_digit_is_no_mention(spark):
+    names = spark.createDataFrame([("mentch",), ("Filter::healthy",)], "name string")
+    asked = [(1, "𝟙mentch"), (2, "𐄇mentch 𐐀mentch"), (3, "🙂mentch"), (4, "3.Filter::healthy"), (5, "𝟙Filter::healthy"), (6, "a.𝟙mentch")]
+    got = facts.mentions(spark.createDataFrame(asked, "item_id int, text string"), names).collect()
+    assert sorted((r.item_id, r.name) for r in got) == [(3, "mentch"), (4, "Filter::healthy")]

@@ -49,3 +49,22 @@ def test_a_piece_of_a_word_is_not_answered_directly(spark, sf, tmp_path):
 def test_a_piece_of_a_word_gives_no_direct_mode(spark, sf, tmp_path):
     found = agrees_on_pieces(spark, sf, tmp_path, "answer_modes")
     assert found.set_index("qid")["mode"].to_dict() == {3: "direct"} | dict.fromkeys((1, 2, 4, 5), "refused")
+
+
+def agrees_on(spark, sf, folder, name, docs, asked):
+    """The query's rows, equal to its SQL's, over these texts."""
+    for t in os.listdir(sf):
+        if t not in ("documents.parquet", "benchmark.parquet"):
+            os.symlink(f"{sf}/{t}", folder / t)
+    spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(asked, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    found = __spark_entry__.queries()[name](spark, str(folder)).toPandas()
+    assert rows(found) == rows(duck(__spark_entry__.oracle_sql()[name], str(folder)))
+    return found
+
+
+def test_a_piece_behind_a_wide_digit_is_not_answered_directly(spark, sf, tmp_path):
+    docs = [(1, "mentch alpha beta"), (2, "gamma delta")]
+    asked = [(1, "\U0001d7d9mentch"), (2, "\U00010107mentch"), (3, "x.\U0001f100mentch"), (4, "\U0001f642mentch")]
+    found = agrees_on(spark, sf, tmp_path, "direct_vs_retrieve_split", docs, asked)
+    assert found.set_index("item_id")["path"].to_dict() == {1: "retrieve", 2: "retrieve", 3: "retrieve", 4: "direct"}
