@@ -13,9 +13,15 @@ SENTENCE_END = r"[.!?]\s+"
 SPECULATION = r"(?i)\b(probably|might|perhaps|possibly|maybe|presumably|likely|seems|appears)\b"
 
 
+def folded(text: Column) -> Column:
+    """Lower case, letter by letter: ``lower`` alone chooses a sigma by what
+    stands around it, and makes two characters of a dotted capital I."""
+    return F.lower(F.replace(F.replace(text, F.lit("Σ"), F.lit("σ")), F.lit("İ"), F.lit("i")))
+
+
 def tokens(text: Column) -> Column:
     """Lower-case words in order; null text: none."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD), lambda t: t != "")
+    return F.filter(F.split(folded(F.coalesce(text, F.lit(""))), NOT_WORD), lambda t: t != "")
 
 
 def normalised(text: Column) -> Column:

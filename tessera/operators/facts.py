@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import tokens
+from tessera.functions.text import folded, tokens
 
 _DEFINITION = re.compile(r"^\s*(?:class|struct|enum)\s+(\w+)|^[\w:<>,&*\s~]*?\b([\w~]+(?:::[\w~]+)*)\s*\([^;{}]*\)\s*(?:const)?\s*\{", re.M)
 _CALL = re.compile(r"\b([A-Za-z_]\w*(?:(?:::|\.|->)[A-Za-z_]\w*)*)\s*\(")
@@ -138,9 +138,9 @@ def mentions(questions: DataFrame, names: DataFrame, id_col: str = "item_id", te
     (``Type::member``), in upper or lower case: an equi-join on what is folded.
     The name is returned as the facts have it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    said = F.array_distinct(F.concat(tokens(text), F.regexp_extract_all(F.lower(text), F.lit(NAME), 0)))
+    said = F.array_distinct(F.concat(tokens(text), F.regexp_extract_all(folded(text), F.lit(NAME), 0)))
     words = questions.select(id_col, F.explode(said).alias("_said"))
-    return words.join(names, F.col("_said") == F.lower(names[name])).drop("_said")
+    return words.join(names, F.col("_said") == folded(names[name])).drop("_said")
 
 
 #: Which kind of fact a question's wording asks for, and when no word tells,

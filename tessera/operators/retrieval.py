@@ -33,10 +33,11 @@ def bm25_scores(questions: DataFrame, corpus: DataFrame | Index, routes: DataFra
 
     routes (qid, domain) restrict what is scored, not the statistics, so scores
     stay comparable: a posting carries its domain, and no list of candidate
-    documents is made.
+    documents is made. Documents without an id count in the statistics only:
+    nothing can cite them.
     """
     index = opened(corpus)
-    hit = met(questions, index, qid)
+    hit = met(questions, index, qid).where(F.col("doc_id").isNotNull())
     if routes is not None:
         hit = hit.join(routes.select("qid", "domain"), ["qid", "domain"], "left_semi")
     hit = hit.crossJoin(F.broadcast(totals(index)))  # one row

@@ -68,3 +68,16 @@ def test_a_piece_behind_a_wide_digit_is_not_answered_directly(spark, sf, tmp_pat
     asked = [(1, "\U0001d7d9mentch"), (2, "\U00010107mentch"), (3, "x.\U0001f100mentch"), (4, "\U0001f642mentch")]
     found = agrees_on(spark, sf, tmp_path, "direct_vs_retrieve_split", docs, asked)
     assert found.set_index("item_id")["path"].to_dict() == {1: "retrieve", 2: "retrieve", 3: "retrieve", 4: "direct"}
+
+
+def test_modes_fold_case_letter_by_letter(spark, sf, tmp_path):
+    docs = [(1, "ΟΔΥΣΣΕΥΣ alpha"), (2, "İstanbul beta"), (3, "gamma İZMİR")]
+    asked = [(1, "ΟΔΥΣΣΕΥΣ'x"), (2, "οδυσσευς"), (3, "οδυσσευσ"), (4, "istanbul"), (5, "i̇stanbul"), (6, "İzmir gamma"), (7, "i̇zmi̇r")]
+    found = agrees_on(spark, sf, tmp_path, "answer_modes", docs, asked)
+    assert found.set_index("qid")["mode"].to_dict() == {1: "direct", 2: "refused", 3: "direct", 4: "direct", 5: "refused", 6: "extractive", 7: "refused"}
+
+
+def test_a_document_without_an_id_gives_no_extractive_mode(spark, sf, tmp_path):
+    docs = [(1, "abc delta"), (None, "xyz epsilon"), (None, "mentch zeta")]
+    found = agrees_on(spark, sf, tmp_path, "answer_modes", docs, [(1, "delta"), (2, "epsilon"), (3, "mentch"), (4, "delta epsilon")])
+    assert found.set_index("qid")["mode"].to_dict() == {1: "extractive", 2: "refused", 3: "direct", 4: "refused"}
